@@ -117,7 +117,7 @@ def _precision(s: str, kind: str) -> str:
     def words(names: tuple[str, ...]) -> str:
         return "array(" + ", ".join(f"'{name}'" for name in names) + ")"
 
-    return f"element_at(CASE WHEN {s} LIKE '%?' THEN {words(UNCERTAIN)} ELSE {words(CERTAIN)} END, {kind})"
+    return f"CASE WHEN {kind} > 0 THEN element_at(CASE WHEN {s} LIKE '%?' THEN {words(UNCERTAIN)} ELSE {words(CERTAIN)} END, {kind}) END"
 
 
 def _staged(df: DataFrame, columns: list[str]) -> DataFrame:

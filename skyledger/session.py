@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -17,6 +18,7 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return spark
 
 
@@ -30,9 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="skyledger-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_dir()
+
+
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="skyledger-")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
