@@ -578,9 +578,9 @@ def stage_manufacturer(x: Inputs) -> DataFrame:
 def launch_vehicle_stage(x: Inputs) -> DataFrame:
     staged = x.staged["lvs"]
     df = cleaned(staged, "lvs_", staged.columns)
-    df = with_membership(df, x.built["stage"], "lvs_stage_name", "stage_name", "__known")
-    routed = route(F.col("lvs_stage_name"), F.col("__known"), "lvs_stage_name", "lvs_stage_type")
-    names = [c for c in df.columns if c != "__known"]
+    df = with_membership(df, x.built["stage"], "lvs_stage_name", "stage_name", "is_stage")
+    routed = route(F.col("lvs_stage_name"), F.col("is_stage"), "lvs_stage_name", "lvs_stage_type")
+    names = [c for c in df.columns if c != "is_stage"]
     df = df.select(*[col for c in names for col in (routed if c == "lvs_stage_name" else [F.col(c)])])
     numbers = ("lvs_multiplicity", "lvs_stage_impulse", "lvs_stage_apogee", "lvs_stage_perigee")
     return typed(df, numbers, strict=x.strict)
