@@ -14,6 +14,11 @@ def tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
+def distinct_union(*frames: DataFrame) -> DataFrame:
+    """Union without repeated rows; repeats collapse before the shuffle."""
+    return reduce(DataFrame.unionByName, frames).distinct()
+
+
 def left_detail(df: DataFrame, detail: DataFrame, key: str, detail_key: str) -> DataFrame:
     """Left join that keeps the key once. No hint: Spark broadcasts a detail
     table below its threshold, and splits skewed partitions above it."""
