@@ -9,9 +9,9 @@ compute the expected tables from the clean columns and never parse this text.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledger_queries.registry import Tables
+from skyledger.session import spread
 from skyledger.sources.registry import LAYOUTS
 
 
@@ -29,8 +29,8 @@ def layout(df: DataFrame, name: str, first: dict[str, str] | None = None, **cell
     unknown = set(cells) - set(LAYOUTS[name].split())
     if unknown:
         raise ValueError(f"{name} has no columns {unknown}")
-    extra = [F.expr(text).alias(c) for c, text in (first or {}).items()]
-    return df.select(*extra, *[F.expr(cells.get(c, "'-'")).alias(c) for c in LAYOUTS[name].split()])
+    texts = (first or {}) | {c: cells.get(c, "'-'") for c in LAYOUTS[name].split()}
+    return spread(df).selectExpr(*[f"{text} AS `{c}`" for c, text in texts.items()])
 
 
 # A day derived from a key; both sides of the check use the same rule.

@@ -35,81 +35,65 @@ MILLENIUM, CENTURY, DECADE, YEAR, QUARTER, MONTH, DAY, HOUR, TENTH, CENTIDAY, MI
 _KIND_BY_LENGTH = {4: YEAR, 8: MONTH, 10: DAY, 11: DAY, 13: TENTH, 14: CENTIDAY, 16: MINUTE, 19: SECOND}
 
 _MONTH = "|".join(MONTHS)
+_LENGTHS = ", ".join(str(_KIND_BY_LENGTH.get(n, 0)) for n in range(1, 20))
+
+# A year alone or with a month, a day, and an hour, a part of the day, or a time.
 _CALENDAR = (
-    f"^[0-9]{{4}}( (?i:{_MONTH})("
+    f"^(?!0000)[0-9]{{4}}( (?i:{_MONTH})("
     " [ 0-9]?[0-9]( ([01]?[0-9]|2[0-3])h)?"
     r"| [ 0-9][0-9]([.][0-9]{1,2}| ([01][0-9]|2[0-3])[0-5][0-9](:[0-5][0-9])?)"
     ")?)?$"
 )
-_LENGTHS = ", ".join(str(_KIND_BY_LENGTH.get(n, 0)) for n in range(1, 20))
+# Counted periods whose first year lies between 1 and 9999.
+_COUNTED = "^0*(([2-9]|10)M|([2-9]|[1-9][0-9]|100)C|[1-9][0-9]{0,3}s)$"
 
 # Parts that are noise once their meaning is noted: the era, surplus spaces
 # before a two-digit or one-digit day, and the doubt mark.
 _NOISE = "^BC |(?<=[A-Za-z]) {1,2}(?= [0-9]{2})|(?<=[A-Za-z]) (?= {2}[0-9])| *[?]$"
 
 
-def _text(s: str) -> str:
-    return f"CASE WHEN {s} LIKE '%?' OR {s} LIKE '%  %' OR {s} LIKE 'BC %' THEN regexp_replace({s}, '{_NOISE}', '') ELSE {s} END"
-
-
-def _body(text: str) -> str:
-    """A first word of three characters is a year to pad to four digits."""
-    return f"CASE WHEN locate(' ', concat({text}, ' ')) = 4 THEN concat('0', {text}) ELSE {text} END"
+def _body(s: str) -> str:
+    """The text without noise, its year padded to four digits. Most cells need neither."""
+    return f"""
+    CASE WHEN {s} LIKE '%?' OR {s} LIKE '%  %' OR {s} LIKE 'BC %' OR substr({s}, 4, 1) IN ('', ' ') THEN
+      regexp_replace(regexp_replace({s}, '{_NOISE}', ''), '^([0-9]{{3}})( |$)', '0$1$2') ELSE {s} END"""
 
 
-def _kind(body: str) -> str:
+def _kind(s: str, body: str) -> str:
     """Position of the precision word; null where there is no date."""
     return f"""
     CASE WHEN {body} IS NULL OR {body} IN ('', '-', '*') THEN NULL
+      WHEN {s} LIKE 'BC %' AND left({body}, 4) > '4712' THEN 0
       WHEN {body} RLIKE '{_CALENDAR}' THEN
         CASE WHEN {body} LIKE '%h' THEN {HOUR} ELSE element_at(array({_LENGTHS}), char_length({body})) END
-      WHEN {body} RLIKE '^[0-9]{{4}} ?Q[1-4]$' THEN {QUARTER}
-      WHEN {body} RLIKE '^[0-9]{{1,4}}[MCs]$' THEN locate(right({body}, 1), 'MCs')
+      WHEN {body} RLIKE '^(?!0000)[0-9]{{4}} ?Q[1-4]$' THEN {QUARTER}
+      WHEN {body} RLIKE '{_COUNTED}' THEN locate(right({body}, 1), 'MCs')
       ELSE 0 END"""
 
 
-def _count(body: str, kind: str) -> str:
-    """The leading number: a year, or how many millennia or centuries."""
-    return f"""
-    CASE WHEN {kind} > 0 THEN
-      CAST(left({body}, CASE WHEN {kind} <= {DECADE} THEN char_length({body}) - 1 ELSE 4 END) AS INT) END"""
-
-
-def _year(s: str, kind: str, count: str) -> str:
-    return f"""
-    CASE {kind} WHEN {MILLENIUM} THEN ({count} - 1) * 1000 WHEN {CENTURY} THEN {count} * 100 - 100 ELSE {count} END
-    * CASE WHEN {s} LIKE 'BC %' THEN -1 ELSE 1 END"""
-
-
-def _clock(body: str, kind: str) -> str:
-    """Digits after the day as one number: ``2355:57`` is 235557, ``.98`` is 98."""
-    return f"""
-    CASE WHEN {kind} >= {HOUR} THEN CAST(translate(substring_index({body},
-      CASE WHEN {kind} IN ({TENTH}, {CENTIDAY}) THEN '.' ELSE ' ' END, -1), ':h', '') AS INT) END"""
-
-
-def _seconds(kind: str, clock: str) -> str:
-    """Seconds into the day."""
-    return f"""
-    CASE {kind}
-      WHEN {SECOND} THEN {clock} div 10000 * 3600 + {clock} div 100 % 100 * 60 + {clock} % 100
-      WHEN {MINUTE} THEN {clock} div 100 * 3600 + {clock} % 100 * 60
-      WHEN {CENTIDAY} THEN {clock} * 864
-      WHEN {TENTH} THEN {clock} * 8640
-      WHEN {HOUR} THEN {clock} * 3600
-      ELSE 0 END"""
+def _start(s: str, body: str, kind: str) -> str:
+    """First moment of the period; null when the parts make no date.
 
+    The kind vouches for the shape, so parts stand at fixed places.
+    """
+    def number(text: str) -> str:
+        return f"CAST({text} AS INT)"
 
-def _start(body: str, kind: str, year: str, seconds: str) -> str:
-    """First moment of the period; null when the parts make no date."""
+    count = number(f"left({body}, char_length({body}) - 1)")
     return f"""
-    CASE WHEN {kind} > 0 AND {year} BETWEEN -4712 AND 9999 AND {year} <> 0 THEN
+    CASE WHEN {kind} > 0 THEN
       try_make_timestamp_ntz(
-        {year},
+        CASE {kind} WHEN {MILLENIUM} THEN {count} * 1000 - 1000 WHEN {CENTURY} THEN {count} * 100 - 100
+          WHEN {DECADE} THEN {count} ELSE {number(f"left({body}, 4)")} END * CASE WHEN {s} LIKE 'BC %' THEN -1 ELSE 1 END,
         CASE WHEN {kind} >= {MONTH} THEN (locate(lower(substr({body}, 6, 3)), '{"".join(MONTHS).lower()}') + 2) div 3
-          WHEN {kind} = {QUARTER} THEN ascii(right({body}, 1)) * 3 - ascii('0') * 3 - 2 ELSE 1 END,
-        CASE WHEN {kind} >= {DAY} THEN CAST(substr({body}, 10, 2) AS INT) ELSE 1 END,
-        0, 0, 0) + {seconds} * INTERVAL '1' SECOND
+          WHEN {kind} = {QUARTER} THEN {number(f"right({body}, 1)")} * 3 - 2 ELSE 1 END,
+        CASE WHEN {kind} >= {DAY} THEN {number(f"substr({body}, 10, 2)")} ELSE 1 END,
+        CASE WHEN {kind} >= {MINUTE} THEN {number(f"substr({body}, 13, 2)")}
+          WHEN {kind} = {HOUR} THEN {number(f"rtrim('h', substring_index({body}, ' ', -1))")} ELSE 0 END,
+        CASE WHEN {kind} >= {MINUTE} THEN {number(f"substr({body}, 15, 2)")} ELSE 0 END,
+        CASE WHEN {kind} = {SECOND} THEN {number(f"substr({body}, 18, 2)")} ELSE 0 END)
+      + CASE {kind} WHEN {TENTH} THEN {number(f"right({body}, 1)")} * 8640
+          WHEN {CENTIDAY} THEN {number(f"right({body}, 2)")} * 864 ELSE 0 END * INTERVAL '1' SECOND
     END"""
 
 
@@ -117,28 +101,26 @@ def _precision(s: str, kind: str) -> str:
     def words(names: tuple[str, ...]) -> str:
         return "array(" + ", ".join(f"'{name}'" for name in names) + ")"
 
-    return f"CASE WHEN {kind} > 0 THEN element_at(CASE WHEN {s} LIKE '%?' THEN {words(UNCERTAIN)} ELSE {words(CERTAIN)} END, {kind}) END"
+    return f"""CASE WHEN {kind} > 0 THEN
+      element_at(CASE WHEN {s} LIKE '%?' THEN {words(UNCERTAIN)} ELSE {words(CERTAIN)} END, {kind}) END"""
 
 
 def _staged(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Add the hidden steps; each projection reads the ones before it."""
-    def step(name: str, text) -> None:
-        nonlocal df
-        df = df.withColumns({f"__{name}_{c}": F.expr(text(c)) for c in columns})
+    """Add the hidden body and kind; the second projection reads the first."""
+    df = df.selectExpr("*", *[f"{_body(f'`{c}`')} AS `__body_{c}`" for c in columns])
+    return df.selectExpr("*", *[f"{_kind(f'`{c}`', f'`__body_{c}`')} AS `__kind_{c}`" for c in columns])
 
-    step("text", lambda c: _text(f"`{c}`"))
-    step("body", lambda c: _body(f"`__text_{c}`"))
-    step("kind", lambda c: _kind(f"`__body_{c}`"))
-    step("count", lambda c: _count(f"`__body_{c}`", f"`__kind_{c}`"))
-    step("year", lambda c: _year(f"`{c}`", f"`__kind_{c}`", f"`__count_{c}`"))
-    step("clock", lambda c: _clock(f"`__body_{c}`", f"`__kind_{c}`"))
-    step("seconds", lambda c: _seconds(f"`__kind_{c}`", f"`__clock_{c}`"))
-    step("start", lambda c: _start(f"`__body_{c}`", f"`__kind_{c}`", f"`__year_{c}`", f"`__seconds_{c}`"))
-    return df
 
+def _start_of(c: str) -> str:
+    return _start(f"`{c}`", f"`__body_{c}`", f"`__kind_{c}`")
 
-def _is_bad(c: str) -> Column:
-    return F.col(f"`__kind_{c}`").isNotNull() & F.col(f"`__start_{c}`").isNull()
+
+def _precision_of(c: str) -> str:
+    return _precision(f"`{c}`", f"`__kind_{c}`")
+
+
+def _fail(s: str) -> str:
+    return f"CAST(raise_error(concat('Unreadable date: ', {s})) AS TIMESTAMP_NTZ)"
 
 
 def with_vague_dates(df: DataFrame, columns: Mapping[str, tuple[str, str]], strict: bool = True) -> DataFrame:
@@ -147,54 +129,47 @@ def with_vague_dates(df: DataFrame, columns: Mapping[str, tuple[str, str]], stri
     `columns` maps a text column to its (date, precision) names. Text outside the
     grammar raises an error naming it; with ``strict=False`` both values are null.
     """
+    if not columns:
+        return df
     staged = _staged(df, list(columns))
-    out: list[Column] = []
-    for name in df.columns:
-        if name not in columns:
-            out.append(F.col(f"`{name}`"))
+    if not strict:
+        staged = staged.selectExpr("*", *[f"{_start_of(c)} AS `__start_{c}`" for c in columns])
+    out: list[str] = []
+    for c in df.columns:
+        if c not in columns:
+            out.append(f"`{c}`")
             continue
-        date, precision = columns[name]
-        start = F.col(f"`__start_{name}`")
         if strict:
-            message = F.concat(F.lit("Unreadable date: "), F.col(f"`{name}`"))
-            start = F.when(_is_bad(name), F.raise_error(message).cast("timestamp_ntz")).otherwise(start)
-        word = F.expr(_precision(f"`{name}`", f"`__kind_{name}`"))
-        out += [start.alias(date), F.when(F.col(f"`__start_{name}`").isNotNull(), word).alias(precision)]
-    return staged.select(*out)
+            start = f"CASE WHEN `__kind_{c}` IS NOT NULL THEN coalesce({_start_of(c)}, {_fail(f'`{c}`')}) END"
+            word = _precision_of(c)
+        else:
+            start = f"`__start_{c}`"
+            word = f"CASE WHEN {start} IS NOT NULL THEN {_precision_of(c)} END"
+        date, precision = columns[c]
+        out += [f"{start} AS `{date}`", f"{word} AS `{precision}`"]
+    return staged.selectExpr(*out)
 
 
 def bad_dates(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Rows (keys, column, value) for every unreadable date, in one pass."""
+    def cell(c: str) -> Column:
+        is_bad = F.expr(f"`__kind_{c}` IS NOT NULL AND {_start_of(c)} IS NULL")
+        return F.when(is_bad, F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")))
+
     staged = _staged(df, columns)
-    cells = [F.when(_is_bad(c), F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value"))) for c in columns]
-    return staged.select(*keys, F.inline(F.array_compact(F.array(*cells))))
+    return staged.select(*keys, F.inline(F.array_compact(F.array(*[cell(c) for c in columns]))))
 
 
 def sql_definitions() -> list[str]:
     """The same steps as session functions; each call hands its result to the next."""
-    names = ("s", "text", "body", "kind", "count", "year", "clock", "seconds")
-    types = dict.fromkeys(names, "INT") | dict.fromkeys(("s", "text", "body"), "STRING")
+    result = "STRUCT<start: TIMESTAMP_NTZ, word: STRING>"
+    start = f"CASE WHEN kind IS NOT NULL THEN coalesce({_start('s', 'body', 'kind')}, {_fail('s')}) END"
     steps = {
-        "text": _text("s"),
-        "body": _body("text"),
-        "kind": _kind("body"),
-        "count": _count("body", "kind"),
-        "year": _year("s", "kind", "count"),
-        "clock": _clock("body", "kind"),
-        "seconds": _seconds("kind", "clock"),
+        "vague_date_of_kind(s STRING, body STRING, kind INT)": f"named_struct('start', {start}, 'word', {_precision('s', 'kind')})",
+        "vague_date_of_body(s STRING, body STRING)": f"vague_date_of_kind(s, body, {_kind('s', 'body')})",
+        "vague_date(s STRING)": f"vague_date_of_body(s, {_body('s')})",
     }
-    result = "STRUCT<start: TIMESTAMP_NTZ, word: STRING>"
-    fail = "CAST(raise_error(concat('Unreadable date: ', s)) AS TIMESTAMP_NTZ)"
-    last = (
-        f"named_struct('start', CASE WHEN kind IS NOT NULL THEN coalesce({_start('body', 'kind', 'year', 'seconds')}, {fail}) END,"
-        f" 'word', {_precision('s', 'kind')})"
-    )
-    statements = []
-    for i in range(len(names), 0, -1):
-        params = ", ".join(f"{n} {types[n]}" for n in names[:i])
-        body = last if i == len(names) else f"vague_step_{i + 1}({', '.join(names[:i])}, CAST({steps[names[i]]} AS {types[names[i]]}))"
-        statements.append(f"CREATE OR REPLACE TEMPORARY FUNCTION vague_step_{i}({params}) RETURNS {result} RETURN {body}")
-    return statements + [
-        "CREATE OR REPLACE TEMPORARY FUNCTION vague_to_date(s STRING) RETURNS TIMESTAMP_NTZ RETURN vague_step_1(s).start",
-        "CREATE OR REPLACE TEMPORARY FUNCTION vague_to_precision(s STRING) RETURNS STRING RETURN vague_step_1(s).word",
+    return [f"CREATE OR REPLACE TEMPORARY FUNCTION {name} RETURNS {result} RETURN {text}" for name, text in steps.items()] + [
+        "CREATE OR REPLACE TEMPORARY FUNCTION vague_to_date(s STRING) RETURNS TIMESTAMP_NTZ RETURN vague_date(s).start",
+        "CREATE OR REPLACE TEMPORARY FUNCTION vague_to_precision(s STRING) RETURNS STRING RETURN vague_date(s).word",
     ]

@@ -38,8 +38,8 @@ def number_sql(s: str, otherwise: str = "NULL") -> str:
     millions = f"coalesce(try_cast(concat({body}, 'e6') AS DOUBLE), CAST({body} AS DOUBLE) * 1e6D)"
     years = f"coalesce(CAST(try_cast({body} AS DECIMAL(28, 10)) * {DAYS_PER_YEAR} AS DOUBLE), CAST({body} AS DOUBLE) * {DAYS_PER_YEAR}D)"
     return f"""
-    CASE WHEN {_has_no_number(s)} THEN NULL
-      WHEN {text} RLIKE '^{_PLAIN}$' THEN CAST({text} AS DOUBLE)
+    CASE WHEN {text} RLIKE '^{_PLAIN}$' THEN CAST({text} AS DOUBLE)
+      WHEN {_has_no_number(s)} THEN NULL
       WHEN {text} RLIKE '^{_PLAIN}(yr)?M$' THEN {millions}
       WHEN {text} RLIKE '^{_PLAIN}yr$' THEN {years}
       ELSE {otherwise} END"""
@@ -49,9 +49,9 @@ def double_sql(s: str, otherwise: str = "NULL") -> str:
     """Exactly ``Inf`` is infinity; no other words and no unit suffixes."""
     text = _undoubted(s)
     return f"""
-    CASE WHEN {_has_no_double(s)} THEN NULL
+    CASE WHEN {text} RLIKE '^{_PLAIN}$' THEN CAST({text} AS DOUBLE)
+      WHEN {_has_no_double(s)} THEN NULL
       WHEN {text} = '{INFINITY_MARK}' THEN CAST('Infinity' AS DOUBLE)
-      WHEN {text} RLIKE '^{_PLAIN}$' THEN CAST({text} AS DOUBLE)
       ELSE {otherwise} END"""
 
 
@@ -59,16 +59,24 @@ def fail_sql(s: str, wanted: str) -> str:
     return f"CAST(raise_error(concat('Not a {wanted}: ', {s})) AS DOUBLE)"
 
 
+def decorated_number_sql(name: str, strict: bool = True) -> str:
+    s = f"`{name}`"
+    return number_sql(s, fail_sql(s, "number") if strict else "NULL")
+
+
+def decorated_double_sql(name: str, strict: bool = True) -> str:
+    s = f"`{name}`"
+    return double_sql(s, fail_sql(s, "number or infinity") if strict else "NULL")
+
+
 def decorated_number(name: str, strict: bool = True) -> Column:
     """Double for a decorated number; bad text raises, or is null if not strict."""
-    s = f"`{name}`"
-    return F.expr(number_sql(s, fail_sql(s, "number") if strict else "NULL"))
+    return F.expr(decorated_number_sql(name, strict))
 
 
 def decorated_double(name: str, strict: bool = True) -> Column:
     """Double that may be infinite."""
-    s = f"`{name}`"
-    return F.expr(double_sql(s, fail_sql(s, "number or infinity") if strict else "NULL"))
+    return F.expr(decorated_double_sql(name, strict))
 
 
 def is_bad_number(name: str) -> Column:

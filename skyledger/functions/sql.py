@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from skyledger.functions.codes import ORBITAL_CODES, SUBORBITAL_CODES
 from skyledger.functions.dates import sql_definitions
 from skyledger.functions.numbers import double_sql, fail_sql, number_sql
+from skyledger.functions.text import clean_sql
 
 
 def _letters(codes: tuple[str, ...]) -> str:
@@ -24,7 +25,7 @@ def definitions() -> list[str]:
 
     split = r"filter(split(s, concat('[\\Q', delimiters, '\\E]')), x -> x <> '')"
     return sql_definitions() + [
-        scalar("clean_text", "STRING", "CASE WHEN s <> '-' THEN nullif(trim(s), '') END"),
+        scalar("clean_text", "STRING", clean_sql("s")),
         scalar("decorated_to_number", "DOUBLE", number_sql("s", fail_sql("s", "number"))),
         scalar("decorated_to_double", "DOUBLE", double_sql("s", fail_sql("s", "number or infinity"))),
         scalar(

@@ -17,6 +17,11 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def clean_sql(name: str) -> str:
+    """SQL text of `clean` for a column name."""
+    return f"CASE WHEN `{name}` <> '{NULL_MARK}' THEN nullif(trim(`{name}`), '') END"
+
+
 def clean(c: Column) -> Column:
     """Null for the null mark, otherwise the value without outer spaces.
 

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.dates import bad_dates, with_vague_dates
 from skyledger.functions.lists import list_items
-from skyledger.functions.numbers import decorated_double, decorated_number, is_bad_double, is_bad_number
-from skyledger.functions.text import NULL_MARK, clean
+from skyledger.functions.numbers import decorated_double_sql, decorated_number_sql, is_bad_double, is_bad_number
+from skyledger.functions.text import NULL_MARK, clean, clean_sql
 from skyledger.operators.corrections import Fix, correct
 
 
@@ -50,7 +50,7 @@ def column_name(prefix: str, source: str, rename: dict[str, str]) -> str:
 
 def cleaned(staged: DataFrame, prefix: str, columns: Iterable[str], rename: dict[str, str] | None = None) -> DataFrame:
     rename = rename or {}
-    return staged.select(*[clean(F.col(c)).alias(column_name(prefix, c, rename)) for c in columns])
+    return staged.selectExpr(*[f"{clean_sql(c)} AS `{column_name(prefix, c, rename)}`" for c in columns])
 
 
 def typed(
@@ -61,8 +61,9 @@ def typed(
     strict: bool = True,
 ) -> DataFrame:
     """Parse columns in place; each date gains a ``_precision`` column after it."""
-    values = {c: decorated_number(c, strict) for c in numbers} | {c: decorated_double(c, strict) for c in doubles}
-    df = df.select(*[values[c].alias(c) if c in values else F.col(c) for c in df.columns])
+    values = {c: decorated_number_sql(c, strict) for c in numbers} | {c: decorated_double_sql(c, strict) for c in doubles}
+    if values:
+        df = df.selectExpr(*[f"{values.get(c, f'`{c}`')} AS `{c}`" for c in df.columns])
     return with_vague_dates(df, {c: (c, f"{c}_precision") for c in dates}, strict)
 
 

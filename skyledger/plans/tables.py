@@ -13,6 +13,7 @@ from skyledger.functions.text import (
     after_last,
     before_last,
     clean,
+    clean_sql,
     first_token,
     remove,
     strip_end,
@@ -438,11 +439,12 @@ def satellite(x: Inputs) -> DataFrame:
         "State": "s_state_o_code",
     }
     columns = [c for c in staged.columns if c not in ("s_catalog", "Type", "Owner", "Manufacturer")]
-    named = staged.select(
+    named = staged.selectExpr(
         "s_catalog",
-        *[clean(F.col(c)).alias(rename.get(c, f"s_{c.lower()}")) for c in columns],
-        *code_positions(F.col("Type"), bytes_),
+        "Type",
+        *[f"{clean_sql(c)} AS `{rename.get(c, f's_{c.lower()}')}`" for c in columns],
     )
+    named = named.select(*[c for c in named.columns if c != "Type"], *code_positions(F.col("Type"), bytes_))
     parent = remove(first_token(F.col("s_parent")), "*")
     df = correct(named, SATELLITE_FIXES).withColumns(
         {
@@ -522,7 +524,7 @@ def payload_discipline(x: Inputs) -> DataFrame:
 def engine(x: Inputs) -> DataFrame:
     staged = x.staged["engines"]
     columns = [c for c in staged.columns if c not in ("line_number", "Manufacturer", "Oxidizer", "Fuel")]
-    df = staged.select("line_number", *[clean(F.col(c)).alias(f"e_{c.lower()}") for c in columns])
+    df = staged.selectExpr("line_number", *[f"{clean_sql(c)} AS `e_{c.lower()}`" for c in columns])
     numbers = ("e_mass", "e_impulse", "e_thrust", "e_isp", "e_duration", "e_chambers")
     return typed(df.withColumnRenamed("line_number", "e_id"), numbers, dates=("e_date",), strict=x.strict)
 
