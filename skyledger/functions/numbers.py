@@ -31,17 +31,15 @@ def _has_no_double(s: str) -> str:
 
 
 def number_sql(s: str, otherwise: str = "NULL") -> str:
-    """``M`` is tested first and wins over ``yr``."""
+    """Plain numbers first, the common case. Units multiply as decimals, which
+    keeps values such as 1.1M exact; ``M`` wins over ``yr``."""
     text = _undoubted(s)
-    body = f"trim(rtrim('yrM', {text}))"
-    # Appending the exponent gives the nearest double; a product might not.
-    millions = f"coalesce(try_cast(concat({body}, 'e6') AS DOUBLE), CAST({body} AS DOUBLE) * 1e6D)"
-    years = f"coalesce(CAST(try_cast({body} AS DECIMAL(28, 10)) * {DAYS_PER_YEAR} AS DOUBLE), CAST({body} AS DOUBLE) * {DAYS_PER_YEAR}D)"
+    unit = f"CASE WHEN {text} LIKE '%M' THEN 1000000 ELSE {DAYS_PER_YEAR} END"
     return f"""
     CASE WHEN {text} RLIKE '^{_PLAIN}$' THEN CAST({text} AS DOUBLE)
       WHEN {_has_no_number(s)} THEN NULL
-      WHEN {text} RLIKE '^{_PLAIN}(yr)?M$' THEN {millions}
-      WHEN {text} RLIKE '^{_PLAIN}yr$' THEN {years}
+      WHEN {text} RLIKE '^{_PLAIN}(yr)?M?$' THEN
+        coalesce(CAST(try_cast(trim(rtrim('yrM', {text})) AS DECIMAL(38, 12)) * {unit} AS DOUBLE), {otherwise})
       ELSE {otherwise} END"""
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 REPORT = "check string, table_name string, rule string, value string, row_count long"
 
+# Hidden name of the row count, so that a key may have any name.
+ROWS = "__rows"
+
 # The types an export knows how to write, as Spark names them.
 ALLOWED_TYPES = ("string", "timestamp_ntz", "double", "bigint", "int")
 
@@ -47,29 +50,29 @@ def _all_null(columns: list[str]) -> Column:
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, n) for keys held by two or more rows."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n >= 2")
+    """(keys, row count) for keys held by two or more rows."""
+    return df.groupBy(*keys).agg(F.count("*").alias(ROWS)).filter(F.col(ROWS) >= 2)
 
 
 def primary_key(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Keys that repeat, and keys with a null part. One aggregation."""
-    bad = df.groupBy(*keys).agg(F.count("*").alias("n")).filter((F.col("n") >= 2) | _any_null(keys))
-    return _report(bad, "primary key", table, ", ".join(keys), shown(*keys), F.col("n"))
+    bad = df.groupBy(*keys).agg(F.count("*").alias(ROWS)).filter((F.col(ROWS) >= 2) | _any_null(keys))
+    return _report(bad, "primary key", table, ", ".join(keys), shown(*keys), F.col(ROWS))
 
 
 def unique_key(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Keys that repeat, nulls being equal; rows with only nulls are exempt."""
     bad = duplicate_keys(df.filter(~_all_null(keys)), keys)
-    return _report(bad, "unique key", table, ", ".join(keys), shown(*keys), F.col("n"))
+    return _report(bad, "unique key", table, ", ".join(keys), shown(*keys), F.col(ROWS))
 
 
 def missing_parents(child: DataFrame, columns: list[str], parent: DataFrame, parent_columns: list[str]) -> DataFrame:
-    """(columns, n) for child keys that no parent row has.
+    """(columns, row count) for child keys that no parent row has.
 
     A key with a null part is not checked. The distinct child keys, not the
     child rows, meet the parent.
     """
-    used = child.filter(~_any_null(columns)).groupBy(*columns).agg(F.count("*").alias("n"))
+    used = child.filter(~_any_null(columns)).groupBy(*columns).agg(F.count("*").alias(ROWS))
     known = parent.select(*[F.col(p).alias(f"__parent_{i}") for i, p in enumerate(parent_columns)])
     match = [F.col(c) == F.col(f"__parent_{i}") for i, c in enumerate(columns)]
     return used.join(known, reduce(lambda a, b: a & b, match), "left_anti")
@@ -80,31 +83,31 @@ def foreign_key(
 ) -> DataFrame:
     bad = missing_parents(child, columns, parent, parent_columns)
     rule = f"{', '.join(columns)} -> {parent_table}({', '.join(parent_columns)})"
-    return _report(bad, "foreign key", table, rule, shown(*columns), F.col("n"))
+    return _report(bad, "foreign key", table, rule, shown(*columns), F.col(ROWS))
 
 
 def null_safe_key(
     child: DataFrame, table: str, columns: list[str], parent: DataFrame, parent_table: str, parent_columns: list[str]
 ) -> DataFrame:
     """Like `foreign_key`, but null matches null; only a null first part is skipped."""
-    used = child.filter(F.col(columns[0]).isNotNull()).groupBy(*columns).agg(F.count("*").alias("n"))
+    used = child.filter(F.col(columns[0]).isNotNull()).groupBy(*columns).agg(F.count("*").alias(ROWS))
     known = parent.select(*[F.col(p).alias(f"__parent_{i}") for i, p in enumerate(parent_columns)]).distinct()
     match = [F.col(c).eqNullSafe(F.col(f"__parent_{i}")) for i, c in enumerate(columns)]
     bad = used.join(known, reduce(lambda a, b: a & b, match), "left_anti")
     rule = f"{', '.join(columns)} <=> {parent_table}({', '.join(parent_columns)})"
-    return _report(bad, "null-safe key", table, rule, shown(*columns), F.col("n"))
+    return _report(bad, "null-safe key", table, rule, shown(*columns), F.col(ROWS))
 
 
 def not_null(df: DataFrame, table: str, column: str) -> DataFrame:
-    bad = df.agg(F.count_if(F.col(column).isNull()).alias("n")).filter("n > 0")
-    return _report(bad, "not null", table, column, F.lit("NULL"), F.col("n"))
+    bad = df.agg(F.count_if(F.col(column).isNull()).alias(ROWS)).filter(F.col(ROWS) > 0)
+    return _report(bad, "not null", table, column, F.lit("NULL"), F.col(ROWS))
 
 
 def parent_in_domains(df: DataFrame, table: str, column: str, domains: list[tuple[DataFrame, str]]) -> DataFrame:
     """Values that none of several key columns holds."""
     keys = reduce(DataFrame.unionByName, [d.select(F.col(c).alias("__key")) for d, c in domains])
     bad = missing_parents(df, [column], keys, ["__key"])
-    return _report(bad, "parent in domains", table, column, shown(column), F.col("n"))
+    return _report(bad, "parent in domains", table, column, shown(column), F.col(ROWS))
 
 
 def one_parent_by_name(df: DataFrame, table: str, name: str, parent_name: str) -> DataFrame:
@@ -131,9 +134,9 @@ def reconciled(master: DataFrame, loaded: Column, detail: DataFrame, table: str,
 
 
 def row_floor(df: DataFrame, table: str, floor: int) -> DataFrame:
-    bad = df.agg(F.count("*").alias("n")).filter(F.col("n") < floor)
-    value = F.concat(F.lit(f"at least {floor} expected, "), F.col("n").cast("string"), F.lit(" found"))
-    return _report(bad, "row floor", table, "count", value, F.col("n"))
+    bad = df.agg(F.count("*").alias(ROWS)).filter(F.col(ROWS) < floor)
+    value = F.concat(F.lit(f"at least {floor} expected, "), F.col(ROWS).cast("string"), F.lit(" found"))
+    return _report(bad, "row floor", table, "count", value, F.col(ROWS))
 
 
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:

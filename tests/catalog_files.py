@@ -39,7 +39,7 @@ ROWS: dict[str, list[dict[str, str]]] = {
              Platform="SS-088?", Launch_Site="NIIP-5?", Launch_Pad="LC1?", Ascent_Site="DGAEML?", Ascent_Pad="X", Apogee="200?",
              Agency="AA/BB?", LaunchCode="OS", Group="C/X/D", LTCite="R1", Cite="-"),
         dict(Launch_Tag="1960-S1", Launch_Date="1960 Feb", LV_Type="Ghadr-110", Launch_Site="USC", Agency="AA", LaunchCode="AF75",
-             Group="AA/Clemson/Smith,Jones?"),
+             Group="AA/CLEM/Smith,Jones?"),
         dict(Launch_Tag="2024-S69", Launch_Date="2024", LaunchCode="SS", Group="Clemson/Lee", Agency="-"),
         dict(Launch_Tag="2023-S29", LaunchCode="SS", Group="RIT/Kim"),
         dict(Launch_Tag="1971-000", LaunchCode="-S", Group="dup/X"),
