@@ -47,7 +47,8 @@ def tsv_roundtrip(t: Tables) -> DataFrame:
 )
 def tagged_scan(t: Tables) -> DataFrame:
     """Several catalog files in one scan, each row tagged with its file."""
-    root, staged = scratch(t.spark, "catalogs"), cells.objects(t).drop("AltNames")
+    root = scratch(t.spark, "catalogs")
+    staged = cells.objects(t).select("s_catalog", "JCAT", "Launch_Tag", "Name", "Owner")
     specs = [spec_of(name, staged.drop("s_catalog")) for name in OBJECT_CATALOGS if name in ("satcat", "auxcat", "deepcat")]
     for spec in specs:
         write_tsv(staged.filter(F.col("s_catalog") == spec.name).drop("s_catalog"), spec.path(root))
@@ -220,8 +221,8 @@ def newest_file(t: Tables) -> DataFrame:
 )
 def table_export(t: Tables) -> DataFrame:
     """A built table exported as CSV and read back with its types."""
-    df = launch(Inputs({"launch": cells.launch(t)}))
-    path = scratch(t.spark, "export")
-    export_sorted_csv(df, path)
-    back = read_csv_export(t.spark, path, df.schema)
+    root = scratch(t.spark, "export")
+    df = write_table(launch(Inputs({"launch": cells.launch(t)})), root, "v1", "launch")
+    export_sorted_csv(df, f"{root}/csv")
+    back = read_csv_export(t.spark, f"{root}/csv", df.schema)
     return back.groupBy(F.col("l_dest").alias("o_orderstatus")).agg(F.count("*").alias("launches"), F.min("l_launch_tag").alias("first_tag"))

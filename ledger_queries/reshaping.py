@@ -16,11 +16,13 @@ from skyledger.operators.lookups import (
     repeated_names,
     route,
     tagged_union,
+    with_key_count,
     with_membership,
     with_surrogate,
 )
 from skyledger.operators.numbering import with_row_numbers
 from skyledger.plans.shape import bridge, token_map
+from skyledger.session import materialised
 
 
 def part_lists(t: Tables) -> DataFrame:
@@ -208,7 +210,7 @@ def union_additions(t: Tables) -> DataFrame:
     GROUP BY o_orderpriority""",
 )
 def left_join_detail(t: Tables) -> DataFrame:
-    detail = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines"))
+    detail = materialised(t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines")), "detail")
     joined = left_detail(t.orders.select("o_orderkey", "o_orderpriority"), detail, "o_orderkey", "l_orderkey")
     return joined.groupBy("o_orderpriority").agg(
         F.count("*").alias("orders"), F.count("lines").alias("with_lines"), F.sum(F.coalesce("lines", F.lit(0))).alias("lines")
@@ -283,11 +285,8 @@ def listagg(t: Tables) -> DataFrame:
     FROM lineitem""",
 )
 def window_count(t: Tables) -> DataFrame:
-    """Rows per key beside each row. The counts are aggregated first and joined
-    back, so a key that fills a third of the table is never one window."""
-    key = ["l_orderkey", "l_linenumber"]
-    lines = t.lineitem.select(*key, "l_partkey", "l_shipdate")
-    return lines.join(lines.groupBy(*key).agg(F.count("*").alias("same_key")), key)
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    return with_key_count(lines, ["l_orderkey", "l_linenumber"], "same_key")
 
 
 @query(

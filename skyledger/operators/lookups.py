@@ -1,4 +1,11 @@
-"""Lookup joins: details, surrogate keys, membership and routing."""
+"""Lookup joins: details, surrogate keys, membership and routing.
+
+A lookup that is first reduced to one row per key is written to the shared folder
+before the join. The join then has a plain scan on each side: a small lookup is
+broadcast because its file size is known, and with a large one Spark can split a
+skewed partition of the other side, which it does not do when an aggregation sits
+between the shuffle and the join.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.session import materialised
+
 
 def tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
     """Union of same-layout tables with a constant column naming each."""
@@ -20,8 +29,8 @@ def distinct_union(*frames: DataFrame) -> DataFrame:
 
 
 def left_detail(df: DataFrame, detail: DataFrame, key: str, detail_key: str) -> DataFrame:
-    """Left join that keeps the key once. No hint: Spark broadcasts a detail
-    table below its threshold, and splits skewed partitions above it."""
+    """Left join that keeps the key once. `detail` should be a table, not an
+    aggregation of one; see the note on lookups above."""
     return df.join(detail, F.col(key) == F.col(detail_key), "left").drop(detail_key)
 
 
@@ -31,7 +40,7 @@ def with_surrogate(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str,
     The lookup is first reduced to one row per name, so a repeated name cannot
     multiply rows; `repeated_names` reports those names.
     """
-    one = lookup.groupBy(F.col(lookup_key).alias("__name")).agg(F.min(surrogate).alias(name))
+    one = materialised(lookup.groupBy(F.col(lookup_key).alias("__name")).agg(F.min(surrogate).alias(name)), "lookup")
     return df.join(one, F.col(key) == F.col("__name"), "left").drop("__name")
 
 
@@ -47,11 +56,19 @@ def repeated_names(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str)
 
 def with_membership(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, flag: str) -> DataFrame:
     """Add whether the key exists in the lookup; never multiplies rows."""
-    known = lookup.select(F.col(lookup_key).alias("__known")).distinct()
+    known = materialised(lookup.select(F.col(lookup_key).alias("__known")).distinct(), "lookup")
     joined = df.join(known, F.col(key) == F.col("__known"), "left")
     return joined.withColumn(flag, F.col("__known").isNotNull()).drop("__known")
 
 
+def with_key_count(df: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """Rows per key beside each row, as a window count would give. The counts are
+    aggregated and joined back, so a key that fills a third of the table is
+    never one window in one task. Rows with a null key part get no count."""
+    counts = materialised(df.groupBy(*keys).agg(F.count("*").alias(count)), "counts")
+    return df.join(counts, keys, "left")
+
+
 def route(value: Column, matched: Column, hit: str, miss: str) -> list[Column]:
     """Put a value into one of two columns."""
     return [F.when(matched, value).alias(hit), F.when(~matched, value).alias(miss)]

@@ -22,6 +22,7 @@ from skyledger.functions.text import (
 from skyledger.operators.corrections import Case, Fix, Regex, Replace, Strip, correct, exact
 from skyledger.operators.lookups import left_detail, route, with_membership, with_surrogate
 from skyledger.plans.shape import Inputs, Reference, TableSpec, bridge, cleaned, entity, token_map, typed
+from skyledger.session import materialised
 
 # Organization types with their meaning, by group.
 ORGANIZATION_TYPES = {
@@ -456,7 +457,7 @@ def satellite(x: Inputs) -> DataFrame:
     df = correct(df, [exact("s_parent_s_jcat_or_w_name", SATELLITE_PARENTS)])
     # Alternative names: repeated (id, name) pairs count once; different names of one id stay as rows.
     other = x.staged["usatcat"].select(F.col("JCAT").alias("__jcat"), clean(F.col("Name")).alias("s_unicode_name"))
-    df = left_detail(df, other.distinct(), "s_jcat", "__jcat")
+    df = left_detail(df, materialised(other.distinct(), "names"), "s_jcat", "__jcat")
     # Piece to name, with the parsed type and parent where their text stood.
     order = ["s_catalog"]
     for c in columns:
