@@ -210,9 +210,9 @@ def newest_file(t: Tables) -> DataFrame:
         t.orders.select("o_orderkey").write.parquet(f"{root}/{version}")
     newest = newest_files(t.spark, root).filter(F.col("path").endswith(".parquet")).limit(1)
     version = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
-    rows = t.spark.read.parquet(f"{root}/v1", f"{root}/v2").select(F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)/[^/]+$", 1).alias("version"))
-    counts = rows.groupBy("version").agg(F.count("*").alias("rows_in_newest"))
-    return newest.select(version.alias("newest_version")).join(counts, F.col("newest_version") == F.col("version")).drop("version")
+    rows = t.spark.read.parquet(f"{root}/v1", f"{root}/v2").groupBy(F.col("_metadata.file_path").alias("path")).count()
+    counts = rows.groupBy(version.alias("newest_version")).agg(F.sum("count").alias("rows_in_newest"))
+    return newest.select(version.alias("newest_version")).join(counts, "newest_version")
 
 
 @query(

@@ -47,16 +47,21 @@ _CALENDAR = (
 # Counted periods whose first year lies between 1 and 9999.
 _COUNTED = "^0*(([2-9]|10)M|([2-9]|[1-9][0-9]|100)C|[1-9][0-9]{0,3}s)$"
 
-# Parts that are noise once their meaning is noted: the era, surplus spaces
-# before a two-digit or one-digit day, and the doubt mark.
-_NOISE = "^BC |(?<=[A-Za-z]) {1,2}(?= [0-9]{2})|(?<=[A-Za-z]) (?= {2}[0-9])| *[?]$"
+# The era, and surplus spaces before a two-digit or a one-digit day.
+_NOISE = "^BC |(?<=[A-Za-z]) {1,2}(?= [0-9]{2})|(?<=[A-Za-z]) (?= {2}[0-9])"
 
 
 def _body(s: str) -> str:
-    """The text without noise, its year padded to four digits. Most cells need neither."""
+    """The text without doubt mark and noise, its year padded to four digits.
+
+    Few cells have noise or a short year; the others skip the expressions for them.
+    """
+    certain = f"CASE WHEN {s} LIKE '%?' THEN rtrim(left({s}, char_length({s}) - 1)) ELSE {s} END"
     return f"""
-    CASE WHEN {s} LIKE '%?' OR {s} LIKE '%  %' OR {s} LIKE 'BC %' OR substr({s}, 4, 1) IN ('', ' ') THEN
-      regexp_replace(regexp_replace({s}, '{_NOISE}', ''), '^([0-9]{{3}})( |$)', '0$1$2') ELSE {s} END"""
+    CASE WHEN substr({s}, 4, 1) IN ('', ' ', '?') OR {s} LIKE 'BC %'
+        OR ({s} LIKE '%  %' AND ({s} LIKE '%   %' OR {s} RLIKE '  [0-9][0-9]'))
+      THEN regexp_replace(regexp_replace({certain}, '{_NOISE}', ''), '^([0-9]{{3}})( |$)', '0$1$2')
+      ELSE {certain} END"""
 
 
 def _kind(s: str, body: str) -> str:

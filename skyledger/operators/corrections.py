@@ -62,11 +62,16 @@ class Replace:
 
 @dataclass(frozen=True)
 class Regex:
+    """Replace what a regular expression matches, optionally only in values that
+    are LIKE a cheaper pattern."""
+
     pattern: str
     new: str = ""
+    like: str | None = None
 
     def apply(self, c: Column) -> Column:
-        return F.regexp_replace(c, self.pattern, self.new)
+        replaced = F.regexp_replace(c, self.pattern, self.new)
+        return F.when(c.like(self.like), replaced).otherwise(c) if self.like else replaced
 
 
 Step = Strip | Replace | Regex

@@ -62,11 +62,15 @@ def with_membership(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str,
 
 
 def with_key_count(df: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """Rows per key beside each row, as a window count would give. The counts are
-    aggregated and joined back, so a key that fills a third of the table is
-    never one window in one task. Rows with a null key part get no count."""
-    counts = materialised(df.groupBy(*keys).agg(F.count("*").alias(count)), "counts")
-    return df.join(counts, keys, "left")
+    """Rows per key beside each row, as a window count would give; nulls are equal.
+
+    The counts are aggregated and joined back, so a key that fills a third of
+    the table is never one window in one task.
+    """
+    names = [f"__key_{i}" for i in range(len(keys))]
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count("*").alias(count))
+    match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    return df.join(materialised(counts, "counts"), reduce(lambda a, b: a & b, match), "left").drop(*names)
 
 
 def route(value: Column, matched: Column, hit: str, miss: str) -> list[Column]:

@@ -14,7 +14,6 @@ from skyledger.functions.text import (
     before_last,
     clean,
     clean_sql,
-    first_token,
     remove,
     strip_end,
     yes_no,
@@ -185,7 +184,7 @@ SATELLITE_FIXES = (
             Case("2002 Jan 16 0705", when={"s_sdate": ("2002 Jan 16 0705s",)}),
             Case("2000 Nov  5 2000?", when={"s_sdate": ("2000 Nov  5  2000?",)}),
         ),
-        steps=(Regex("(Jan|Mar|Apr)  0$", "$1"), Regex("Jan 00$", "Jan")),
+        steps=(Regex("(Jan|Mar|Apr)  0$|(Jan) 00$", "$1$2", like="% %0"),),
     ),
     Fix(
         "s_ddate",
@@ -195,7 +194,7 @@ SATELLITE_FIXES = (
             Case("2023 Mar 19 0048?", when={"s_ddate": ("2023 Mar 19 0048??",)}),
             Case("2025 Feb 25 0356", when={"s_ddate": ("2025 JFeb 25 0356",)}),
         ),
-        steps=(Regex("Mar  0$", "Mar"),),
+        steps=(Regex("Mar  0$", "Mar", like="%Mar  0"),),
     ),
     exact("s_odate", {"2021 Fen 14": "2021 Feb 14", "2021 Fen  7": "2021 Feb  7"}),
 )
@@ -446,7 +445,7 @@ def satellite(x: Inputs) -> DataFrame:
         *[f"{clean_sql(c)} AS `{rename.get(c, f's_{c.lower()}')}`" for c in columns],
     )
     named = named.select(*[c for c in named.columns if c != "Type"], *code_positions(F.col("Type"), bytes_))
-    parent = remove(first_token(F.col("s_parent")), "*")
+    parent = remove(F.regexp_extract("s_parent", "[^ ]+", 0), "*")
     df = correct(named, SATELLITE_FIXES).withColumns(
         {
             "s_parent_s_jcat_or_w_name": parent,
@@ -454,10 +453,10 @@ def satellite(x: Inputs) -> DataFrame:
             "s_parent_flag": F.when(F.col("s_parent").contains("*"), "*"),
         }
     )
-    df = correct(df, [exact("s_parent_s_jcat_or_w_name", SATELLITE_PARENTS)])
     # Alternative names: repeated (id, name) pairs count once; different names of one id stay as rows.
     other = x.staged["usatcat"].select(F.col("JCAT").alias("__jcat"), clean(F.col("Name")).alias("s_unicode_name"))
     df = left_detail(df, materialised(other.distinct(), "names"), "s_jcat", "__jcat")
+    df = correct(df, [exact("s_parent_s_jcat_or_w_name", SATELLITE_PARENTS)])
     # Piece to name, with the parsed type and parent where their text stood.
     order = ["s_catalog"]
     for c in columns:

@@ -13,6 +13,7 @@ from skyledger.operators.lookups import (
     repeated_names,
     route,
     tagged_union,
+    with_key_count,
     with_membership,
     with_surrogate,
 )
@@ -77,6 +78,14 @@ def test_lookups(spark):
     assert rows(full_outer_values(df, "name", lookup, "label")) == sorted([("a", "a"), ("b", None), (None, None), (None, "c")], key=repr)
 
 
+def test_key_count_like_a_window(spark):
+    from pyspark.sql import Window
+
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), (None, None), (None, None), ("b", 2)], "k string, n int")
+    window = df.withColumn("c", F.count("*").over(Window.partitionBy("k", "n")))
+    assert rows(with_key_count(df, ["k", "n"], "c")) == rows(window)
+
+
 def test_sets(spark):
     a = spark.createDataFrame([(1,), (1,), (2,)], "x int")
     b = spark.createDataFrame([(2,), (3,)], "x int")
