@@ -14,6 +14,7 @@ from skyledger.functions.sql import register_functions
 from skyledger.functions.text import NULL_MARK, after_first_blank, before_last, clean, first_token, glue, piece, remove, yes_no
 from skyledger.operators.corrections import correct, exact
 from skyledger.plans.shape import unreadable_cells
+from skyledger.session import spread
 
 # Order dates as text: the priority picks the precision, a finished order is doubted.
 ORDER_TEXT = f"""
@@ -33,7 +34,7 @@ FROM orders"""
 
 
 def order_dates(t: Tables) -> DataFrame:
-    text = t.orders.select("o_orderkey", F.expr(ORDER_TEXT).alias("text"))
+    text = spread(t.orders).select("o_orderkey", F.expr(ORDER_TEXT).alias("text"))
     return with_vague_dates(text, {"text": ("start", "precision")})
 
 
@@ -56,7 +57,7 @@ def vague_row_values(t: Tables) -> DataFrame:
 def vague_sql_functions(t: Tables) -> DataFrame:
     """The same through the session functions."""
     register_functions(t.spark)
-    text = t.orders.select("o_orderkey", F.expr(ORDER_TEXT).alias("text"))
+    text = spread(t.orders).select("o_orderkey", F.expr(ORDER_TEXT).alias("text"))
     return text.selectExpr("o_orderkey", "vague_to_date(text) AS start", "vague_to_precision(text) AS precision")
 
 
@@ -78,7 +79,7 @@ def vague_time_of_day(t: Tables) -> DataFrame:
       WHEN 'AF' THEN concat({clock}) WHEN 'AO' THEN concat({clock}, ':', lpad(CAST(l_quantity AS INT), 2, '0'))
       WHEN 'NF' THEN concat(' ', l_linenumber, 'h') WHEN 'NO' THEN concat('.', l_linenumber)
       WHEN 'RF' THEN concat('.', lpad(CAST(l_quantity AS INT), 2, '0')) ELSE concat({clock}, '?') END)"""
-    df = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", F.expr(text).alias("text"))
+    df = spread(t.lineitem).select("l_orderkey", "l_linenumber", "l_shipdate", F.expr(text).alias("text"))
     return with_vague_dates(df, {"text": ("start", "precision")})
 
 
@@ -97,7 +98,7 @@ def vague_large_units(t: Tables) -> DataFrame:
     text = f"""CASE o_orderpriority WHEN '1-URGENT' THEN concat({y} div 1000 + 1, 'M') WHEN '2-HIGH' THEN concat({y} div 100 + 1, 'C?')
       WHEN '3-MEDIUM' THEN concat({y} div 10, '0s') WHEN '4-NOT SPECIFIED' THEN concat('BC ', {y} - 1800)
       ELSE concat({y} - 1500, '?') END"""
-    df = with_vague_dates(t.orders.select("o_orderkey", F.expr(text).alias("text")), {"text": ("start", "precision")})
+    df = with_vague_dates(spread(t.orders).select("o_orderkey", F.expr(text).alias("text")), {"text": ("start", "precision")})
     return df.select("o_orderkey", F.year("start").alias("start_year"), "precision")
 
 
@@ -110,7 +111,7 @@ def vague_large_units(t: Tables) -> DataFrame:
 def vague_sentinels(t: Tables) -> DataFrame:
     text = f"""CASE o_orderpriority WHEN '1-URGENT' THEN '-' WHEN '2-HIGH' THEN '*' WHEN '3-MEDIUM' THEN '?'
       WHEN '5-LOW' THEN {day("o_orderdate")} END"""
-    df = with_vague_dates(t.orders.select("o_orderpriority", F.expr(text).alias("text")), {"text": ("start", "precision")})
+    df = with_vague_dates(spread(t.orders).select("o_orderpriority", F.expr(text).alias("text")), {"text": ("start", "precision")})
     return df.groupBy("o_orderpriority").agg(F.count("*").alias("orders"), F.count("start").alias("dated"))
 
 
@@ -122,7 +123,7 @@ def vague_sentinels(t: Tables) -> DataFrame:
 )
 def vague_bad_report(t: Tables) -> DataFrame:
     """Misspelt months and junk numbers, one report row per bad cell."""
-    df = t.orders.selectExpr(
+    df = spread(t.orders).selectExpr(
         "o_orderkey",
         f"CASE o_orderpriority WHEN '5-LOW' THEN date_format(o_orderdate, \"yyyy 'Jux' dd\") ELSE {day('o_orderdate')} END AS ordered",
         "CASE o_orderstatus WHEN 'P' THEN concat(o_custkey, 'x') ELSE concat(o_custkey, '?') END AS price",

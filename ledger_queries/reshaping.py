@@ -22,7 +22,7 @@ from skyledger.operators.lookups import (
 )
 from skyledger.operators.numbering import with_row_numbers
 from skyledger.plans.shape import bridge, token_map
-from skyledger.session import materialised
+from skyledger.session import materialised, spread
 
 
 def part_lists(t: Tables) -> DataFrame:
@@ -70,7 +70,7 @@ def list_flag(t: Tables) -> DataFrame:
 )
 def list_charset_delim(t: Tables) -> DataFrame:
     """Whole texts split at a set of delimiter characters."""
-    rows = explode_list(t.documents.select("doc_id", "text"), "text", "item", " ,.\n")
+    rows = explode_list(spread(t.documents.select("doc_id", "text")), "text", "item", " ,.\n")
     return rows.groupBy("doc_id").agg(F.count("*").alias("items"), F.max(F.octet_length("item")).cast("long").alias("longest"))
 
 

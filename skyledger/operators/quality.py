@@ -125,12 +125,12 @@ def one_parent_by_name(df: DataFrame, table: str, name: str, parent_name: str) -
 
 
 def reconciled(master: DataFrame, loaded: Column, detail: DataFrame, table: str, rule: str) -> DataFrame:
-    """All detail rows must have reached the master: two one-row counts compared."""
-    got = master.agg(F.count_if(loaded).alias("got"))
-    staged = detail.agg(F.count("*").alias("staged"))
-    bad = got.crossJoin(staged).filter("got <> staged")
+    """All detail rows must have reached the master: two counts side by side."""
+    got = master.agg(F.count_if(loaded).alias("got")).withColumn("staged", F.lit(0))
+    staged = detail.agg(F.count("*").alias("staged")).withColumn("got", F.lit(0))
+    both = got.unionByName(staged).agg(F.sum("got").alias("got"), F.sum("staged").alias("staged"))
     value = F.concat(F.lit("loaded "), F.col("got").cast("string"), F.lit(", staged "), F.col("staged").cast("string"))
-    return _report(bad, "reconciliation", table, rule, value, F.col("staged") - F.col("got"))
+    return _report(both.filter("got <> staged"), "reconciliation", table, rule, value, F.col("staged") - F.col("got"))
 
 
 def row_floor(df: DataFrame, table: str, floor: int) -> DataFrame:

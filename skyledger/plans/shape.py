@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.dates import bad_dates, with_vague_dates
@@ -23,6 +23,10 @@ class Inputs:
     built: dict[str, DataFrame] = field(default_factory=dict)
     strict: bool = True
 
+    @property
+    def spark(self) -> SparkSession:
+        return next(iter(self.staged.values())).sparkSession
+
 
 @dataclass(frozen=True)
 class Reference:

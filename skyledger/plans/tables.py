@@ -272,9 +272,8 @@ def launch_point_org(x: Inputs) -> DataFrame:
 
 
 def launch_vehicle_family(x: Inputs) -> DataFrame:
-    staged = x.staged["family"]
-    extra = staged.sparkSession.createDataFrame([(name,) for name in EXTRA_FAMILIES], "lvf_family string")
-    listed = staged.filter(F.col("Family") != NULL_MARK).select(clean(F.col("Family")).alias("lvf_family"))
+    extra = x.spark.createDataFrame([(name,) for name in EXTRA_FAMILIES], "lvf_family string")
+    listed = x.staged["family"].filter(F.col("Family") != NULL_MARK).select(clean(F.col("Family")).alias("lvf_family"))
     return listed.unionByName(extra).distinct()
 
 
@@ -601,7 +600,7 @@ def _spec(name: str, build, sort: str, primary: str = "", unique: str = "", refs
 TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in (
-        _spec("organization_type", lambda x: organization_type(next(iter(x.staged.values())).sparkSession), "ot_type", "ot_type"),
+        _spec("organization_type", lambda x: organization_type(x.spark), "ot_type", "ot_type"),
         _spec("organization", organization, "o_code", "o_code", refs=(_ref("o_parent_o_code", "organization", "o_code"),)),
         _spec(
             "organization_org_type",

@@ -78,6 +78,14 @@ def test_lookups(spark):
     assert rows(full_outer_values(df, "name", lookup, "label")) == sorted([("a", "a"), ("b", None), (None, None), (None, "c")], key=repr)
 
 
+def test_empty_lookups(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    empty = spark.createDataFrame([], "label string, key int")
+    assert rows(with_surrogate(df, empty, "name", "label", "key", "k")) == [(1, "a", None)]
+    assert rows(with_membership(df, empty, "name", "label", "known")) == [(1, "a", False)]
+    assert rows(repeated_names(df, empty, "name", "label")) == []
+
+
 def test_key_count_like_a_window(spark):
     from pyspark.sql import Window
 
