@@ -28,10 +28,8 @@ ORGANIZATION_TYPES = {
     "States and similar entities": {
         "CY": "Country (i.e. nation-state or autonomous region)",
         "CYP": "Country Province",
-        "IGO": "Intergovernmental organization. Treated as equivalent to a country for the purposes of tabulations of"
-        " launches by country etc.",
-        "AP": "Astronomical Polity: e.g. Luna, Mars. Used for the 'country' field for locations that are not on Earth"
-        " and therefore don't have a country.",
+        "IGO": "Intergovernmental organization. Treated as equivalent to a country for the purposes of tabulations of launches by country etc.",
+        "AP": "Astronomical Polity: e.g. Luna, Mars. Used for the 'country' field for locations that are not on Earth and therefore don't have a country.",
     },
     "Manufacturers": {
         "E": "Engine manufacturer",
@@ -86,17 +84,18 @@ PROPELLANTS = {
 ENGINE_MANUFACTURERS = {"Zulfiqar": "IRGC", "TKSVA": "OKB52", "IRCPS": "NGISP", "IRAN": "IR", "SNC": "SIENV"}
 STAGE_MANUFACTURERS = {"SALT": "SAST"}
 
-# Launch sites renamed over time, current name first.
+# Launch sites renamed over time, former name to current name.
 SITE_RENAMES = {
-    "GIK-1": ("NIIP-53", "GNIIPV"),
-    "GIK-5": ("NIIP-5",),
-    "GNIIP": ("GIP-53",),
-    "GTsP-4": ("GTsMP-4",),
-    "SHAR": ("SDSC",),
-    "NAOTS": ("WIMB",),
-    "VS": ("VSFBS",),
-    "V": ("VSFB",),
-    "KASC": ("USC",),
+    "NIIP-53": "GIK-1",
+    "NIIP-5": "GIK-5",
+    "GNIIPV": "GIK-1",
+    "GIP-53": "GNIIP",
+    "GTsMP-4": "GTsP-4",
+    "SDSC": "SHAR",
+    "WIMB": "NAOTS",
+    "VSFBS": "VS",
+    "VSFB": "V",
+    "USC": "KASC",
 }
 
 # Object rows with a repeated world name, by raw mass.
@@ -127,7 +126,7 @@ LAUNCH_FIXES = (
             _at("PSCA", ("LP2", "LP2?"), "KLC"),
             _at("SPFLA", ("LC46", "SLC46"), "SPFL"),
             _at("CC", ("LC46",), "CCA"),
-            *(Case(name, when={SITE: former}, strip="?") for name, former in SITE_RENAMES.items()),
+            *(Case(current, when={SITE: (former,)}, strip="?") for former, current in SITE_RENAMES.items()),
         ),
         steps=(Strip("?"),),
     ),
