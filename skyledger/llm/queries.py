@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import exact_dedup, quality, sharding
+from skyledger.llm import bpe, exact_dedup, mixing, quality, sharding, url_filter
 from skyledger.llm.common import ship
 
+#: The tokenizer of op5 and of the pipeline.
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+#: The rules of op2, longest first where several fit.
+URL_RULES = (
+    url_filter.UrlRule("allow", "com"),
+    url_filter.UrlRule("block", "example.com", "/en/"),
+    url_filter.UrlRule("allow", "www.example.com", "/en/"),
+    url_filter.UrlRule("block", "net", "/es/"),
+    url_filter.UrlRule("block", "net", "/fr/"),
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -30,6 +42,36 @@ def query(name: str, table: str, oracle: str | None = None):
     return register
 
 
+@query(
+    "op2_url_filter",
+    "pages",
+    """
+    WITH a AS (
+      SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    ), u AS (
+      SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+      FROM a
+    ), r AS (
+      SELECT *, '.' || host AS dotted FROM u
+    ), m AS (
+      SELECT page_id, host, path, CASE
+        WHEN ends_with(dotted, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+        WHEN ends_with(dotted, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+        WHEN ends_with(dotted, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+        WHEN ends_with(dotted, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+        WHEN ends_with(dotted, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+      FROM r
+    )
+    SELECT *, CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict FROM m
+    """,
+)
+def op2(pages: DataFrame) -> DataFrame:
+    """The verdict on every page's url."""
+    found = url_filter.filtered(pages.select("page_id", "url"), URL_RULES)
+    return found.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 @query("op3_byte_shards", "documents")
 def op3(documents: DataFrame) -> DataFrame:
     """All documents in 8 shards of near-equal bytes."""
@@ -39,6 +81,20 @@ def op3(documents: DataFrame) -> DataFrame:
     )
 
 
+@query("op5_word_bpe", "documents")
+def op5(documents: DataFrame) -> DataFrame:
+    """Token ids of every whole text, and what they decode to, as digests."""
+    codes = bpe.encoded(documents.select("doc_id", "text"), WORD_BPE, carry=("doc_id",))
+    return codes.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op7_balanced_mix", "documents")
+def op7(documents: DataFrame) -> DataFrame:
+    """How many words of each document the mix takes."""
+    rows = mixing.mixed(documents.select("doc_id", "source", "text"), carry=("doc_id",))
+    return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 @query(
     "op9_adaptive_quality",
     "documents",
