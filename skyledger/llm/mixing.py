@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import text_of, words_of, written
 
 #: Documents of one source and size are dealt to salts of about this many rows.
-ROWS_PER_SALT = 4096
+ROWS_PER_SALT = 256
 
 
 def word_count(column: str = "text") -> Column:

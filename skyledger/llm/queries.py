@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, exact_dedup, mixing, quality, sharding, url_filter
+from skyledger.llm import bpe, exact_dedup, jaccard, mixing, quality, sharding, url_filter
 from skyledger.llm.common import ship
 
 #: The tokenizer of op5 and of the pipeline.
@@ -88,6 +88,12 @@ def op5(documents: DataFrame) -> DataFrame:
     return codes.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query("op6_jaccard_join", "documents")
+def op6(documents: DataFrame) -> DataFrame:
+    """The component of every document under links of at least 85 percent."""
+    return jaccard.jaccard_components(documents.select("doc_id", "text"), jaccard.Jaccard(percent=85, width=4))
+
+
 @query("op7_balanced_mix", "documents")
 def op7(documents: DataFrame) -> DataFrame:
     """How many words of each document the mix takes."""
