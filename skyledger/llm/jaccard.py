@@ -13,8 +13,8 @@ from skyledger.llm.common import written
 from skyledger.llm.components import components
 from skyledger.llm.words import in_chunks, mix, shingle_sets
 
-#: Leads that a tile compares with its other members in one round.
-LEADS = 8
+#: Shingles of the sets in one side of a tile pair, so that a task's memory is bounded; a larger set is a side of its own.
+SIDE = 500_000
 
 
 class Jaccard:
@@ -75,24 +75,20 @@ class Jaccard:
 
     @staticmethod
     def bitmap(hashes: np.ndarray) -> np.ndarray:
-        """One bit per hash in a bitmap of 1 to 2 bits per shingle of the set's band."""
-        bits = max(64, 1 << len(hashes).bit_length())
-        at = mix(hashes ^ np.uint64(0x5BF0)) & np.uint64(bits - 1)
+        """A bitmap with one bit per hash and 8 to 16 places a shingle; halves fold onto each other."""
+        bits = max(64, 8 << len(hashes).bit_length())
+        at = np.unique(mix(hashes ^ np.uint64(0x5BF0)) & np.uint64(bits - 1))
+        word = (at >> np.uint64(6)).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         out = np.zeros(bits // 64, dtype=np.uint64)
-        np.bitwise_or.at(out, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        out[word[first]] = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
         return out
 
     @staticmethod
-    def most_common(a: int, b: int, x: np.ndarray, y: np.ndarray) -> int:
-        """An upper bound of the intersection from sizes and bitmaps.
-
-        A bit set in only one bitmap stands for a shingle at least that only its set has.
-        """
-        while len(x) > len(y):
-            x = x[: len(x) // 2] | x[len(x) // 2 :]
-        while len(y) > len(x):
-            y = y[: len(y) // 2] | y[len(y) // 2 :]
-        return min(a - int(np.bitwise_count(x & ~y).sum()), b - int(np.bitwise_count(y & ~x).sum()))
+    def folded(bitmap: np.ndarray, words: int) -> np.ndarray:
+        while len(bitmap) > words:
+            bitmap = bitmap[: len(bitmap) // 2] | bitmap[len(bitmap) // 2 :]
+        return bitmap
 
     def enough(self, common: int, a: int, b: int) -> bool:
         return 100 * common >= self.percent * (a + b - common)
@@ -163,27 +159,65 @@ def _arrays(docs: DataFrame, rule: Jaccard) -> DataFrame:
     return docs.select("text").mapInPandas(run, "set long, n long, bits binary, hashes binary")
 
 
-def _linked(pairs: DataFrame, arrays: DataFrame, rule: Jaccard) -> DataFrame:
-    """Of pairs (a, b) of sets those that are linked: sizes, then bitmaps, then the arrays themselves."""
+def spanning_links(names: list[int], sides: list[int], hashes: list[np.ndarray], bitmaps: list[np.ndarray], rule: Jaccard) -> list[tuple[int, int]]:
+    """Links that connect whatever links connect among these sets; with two sides, only across them.
 
-    @F.pandas_udf("boolean")
-    def may_link(n: pd.Series, x: pd.Series, m: pd.Series, y: pd.Series) -> pd.Series:
-        rows = zip(n, x, m, y)
-        return pd.Series([rule.enough(rule.most_common(a, b, np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)), a, b) for a, p, b, q in rows], dtype=bool)
-
-    @F.pandas_udf("boolean")
-    def do_link(x: pd.Series, y: pd.Series) -> pd.Series:
-        sets = ((np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)) for p, q in zip(x, y))
-        return pd.Series([rule.enough(_common(p, q), len(p), len(q)) for p, q in sets], dtype=bool)
+    Sets ascend by size, and each looks at the larger ones within reach that it is not
+    yet connected with. A bit set in only one bitmap stands for a shingle at least that
+    only its set has: that bounds the intersection from above, for many sets at once.
+    Where the bound allows a link, the sorted arrays are intersected.
+    """
+    order = sorted(range(len(names)), key=lambda k: len(hashes[k]))
+    names, sides = [names[k] for k in order], np.array([sides[k] for k in order])
+    hashes, bitmaps = [hashes[k] for k in order], [bitmaps[k] for k in order]
+    sizes, widths = np.array([len(h) for h in hashes]), np.array([len(b) for b in bitmaps])
+    two, links, root = len(set(sides.tolist())) > 1, [], np.arange(len(names))
+    for width in np.unique(widths):
+        wide = np.flatnonzero(widths >= width)
+        rows = np.stack([rule.folded(bitmaps[k], int(width)) for k in wide])
+        for i in np.flatnonzero(widths == width):
+            reach = np.searchsorted(sizes, rule.largest_partner(int(sizes[i])), side="right")
+            some = wide[(wide > i) & (wide < reach)]
+            some = some[root[some] != root[i]]
+            if two:
+                some = some[sides[some] != sides[i]]
+            if not len(some):
+                continue
+            mine, theirs = rows[i - wide[0]], rows[some - wide[0]]
+            common = np.minimum(sizes[i] - np.bitwise_count(mine & ~theirs).sum(1, dtype=np.int64), sizes[some] - np.bitwise_count(theirs & ~mine).sum(1, dtype=np.int64))
+            for j in some[rule.enough(common, sizes[i], sizes[some])]:
+                if root[j] != root[i] and rule.enough(_common(hashes[i], hashes[j]), int(sizes[i]), int(sizes[j])):
+                    root[root == root[j]] = root[i]
+                    links.append((names[i], names[j]))
+    return links
+
+
+def _tile_links(rows: DataFrame, rule: Jaccard) -> DataFrame:
+    """Spanning links of each tile pair; rows come by tile, so a task holds one tile pair at a time."""
 
-    def both(rows: DataFrame, *columns: str) -> DataFrame:
-        for side in "ab":
-            rows = rows.join(arrays.select(F.col("set").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-        return rows
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def links(parts: list[pd.DataFrame]) -> list[tuple[int, int]]:
+            part = parts[0] if len(parts) == 1 else pd.concat(parts)
+            arrays = ([np.frombuffer(x, np.uint64) for x in part[c]] for c in ("hashes", "bits"))
+            return spanning_links(part["set"].tolist(), part["side"].tolist(), *arrays, rule)
 
-    close = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * rule.percent)
-    some = both(pairs, "n", "bits").where(close).where(may_link("n_a", "bits_a", "n_b", "bits_b")).select("a", "b")
-    return both(some, "hashes").where(do_link("hashes_a", "hashes_b")).select("a", "b")
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            ends = np.flatnonzero(np.r_[batch["tile"].to_numpy()[1:] != batch["tile"].to_numpy()[:-1], True]) + 1
+            start = 0
+            for end in ends.tolist():
+                part = batch.iloc[start:end]
+                if held and held[0]["tile"].iloc[0] != part["tile"].iloc[0]:
+                    out += links(held)
+                    held = []
+                held.append(part)
+                start = end
+            yield pd.DataFrame(out, columns=["a", "b"])
+        if held:
+            yield pd.DataFrame(links(held), columns=["a", "b"])
+
+    return rows.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFrame:
@@ -194,49 +228,45 @@ def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFram
     with equal sets are linked, however many there are; rows that repeat a doc_id are
     rows of their own. A component whose ids are all null has a null component_id.
 
-    1. Each distinct set sends its name to its tiles (``Jaccard.signatures``): sets that
-       link share a tile, sets that do not seldom do. Tiles with one set go.
-    2. Each tile compares its smallest set with the others, which is linear in the tile.
-       Most tiles are one component then.
-    3. Tiles that still hold several components compare more leads, a few at a time, from
-       their smaller components, only with members of other components, until each tile
-       is one component or all of its members but one have led. So no link is lost, and
-       a large group of near copies costs rows in proportion to its members.
+    1. Each distinct set sends its name under its keys (``Jaccard.signatures``): sets
+       that link share a key, sets that do not seldom do. Keys with one set go; of the
+       others only the star around their smallest set remains, as many rows as sets.
+    2. Sets that keys connect form a block; no link leaves it. A block is cut into tiles
+       by size band, and bands into sides of bounded bytes; only tiles whose sizes allow
+       a link are paired. A set travels once per tile pair it is in.
+    3. A tile pair finds spanning links by bitmaps and exact intersection, so that a
+       large group of near copies gives as many rows as it has members, not its square.
     """
     rule = rule or Jaccard()
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     lean = written(_sets(docs, rule), "sets")
     by_key = Window.partitionBy("key")
-    tiles = _signatures(docs, rule).repartition("key").withColumn("lead", F.min("set").over(by_key)).withColumn("last", F.max("set").over(by_key))
-    tiles = written(tiles.where("lead < last").select("key", "set", "lead").distinct(), "tiles")
-
-    wanted = tiles.select("set").distinct()
-    speakers = lean.groupBy("set").agg(F.min("id").alias("id")).join(wanted, "set", "left_semi").select(F.col("id").alias("wanted_id"), "set")
-    rows = docs.join(speakers.select("wanted_id").distinct(), F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi")
-    arrays = _arrays(rows, rule).join(wanted, "set", "left_semi").dropDuplicates(["set"])
+    stars = _signatures(docs, rule).repartition("key").withColumn("lead", F.min("set").over(by_key))
+    stars = written(stars.where("set != lead").select(F.col("lead").alias("a"), F.col("set").alias("b")).distinct(), "stars")
+    blocks = components(stars).select(F.col("node").alias("set"), F.col("component").alias("block"))
+
+    speakers = lean.groupBy("set").agg(F.min("id").alias("id"), F.max("n").alias("n")).join(blocks, "set")
+    band = F.expr("length(bin(n)) * 8 + shiftright(n, greatest(length(bin(n)) - 3, 0))")
+    speakers = speakers.withColumn("band", band)
+    before = Window.partitionBy("block", "band").orderBy("n", "set").rowsBetween(Window.unboundedPreceding, -1)
+    speakers = speakers.withColumn("part", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / SIDE))
+    speakers = written(speakers, "speakers")
+    rows = docs.join(speakers.select(F.col("id").alias("wanted")).distinct(), F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
+    arrays = _arrays(rows, rule).dropDuplicates(["set"]).join(speakers.select("set", "block", "band", "part"), "set")
     arrays = written(arrays, "arrays")
 
-    pairs = written(tiles.where("set != lead").select(F.col("lead").alias("a"), F.col("set").alias("b")).distinct(), "pairs")
-    links = written(_linked(pairs, arrays, rule), "linked")
-    led = tiles.select("key", F.col("lead").alias("set")).distinct()
-    while True:
-        labels = components(links)
-        known = tiles.join(labels.withColumnRenamed("node", "set"), "set", "left").select("key", "set", F.coalesce("component", "set").alias("component"))
-        ends = known.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-        mixed = known.join(ends, "key")
-        sizes = mixed.groupBy("key", "component").agg(F.count("*").alias("size"))
-        unled = mixed.join(led, ["key", "set"], "left_anti").join(sizes, ["key", "component"])
-        turn = F.row_number().over(Window.partitionBy("key").orderBy("size", "component", "set"))
-        leads = written(unled.withColumn("turn", turn).where(F.col("turn") <= LEADS).select("key", "set", "component"), "leads")
-        if not leads.limit(1).count():
-            return _result(lean, labels)
-        led = written(led.unionByName(leads.select("key", "set")), "led")
-        x, y = leads.alias("x"), known.alias("y")
-        more = x.join(y, F.col("x.key") == F.col("y.key")).where("x.component != y.component")
-        more = more.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
-        more = written(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        pairs = pairs.unionByName(more)
-        links = written(links.unionByName(_linked(more, arrays, rule)), "linked")
+    x = speakers.groupBy("block", "band", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("sets"))
+    y = x.select("block", *[F.col(c).alias(f"{c}_y") for c in ("band", "part", "least", "sets")])
+    later = (F.col("band_y") > F.col("band")) | ((F.col("band_y") == F.col("band")) & (F.col("part_y") > F.col("part")))
+    itself = (F.col("band_y") == F.col("band")) & (F.col("part_y") == F.col("part")) & (F.col("sets") > 1)
+    in_reach = F.col("least_y") * rule.percent <= F.col("most") * 100
+    pairs = x.join(y, "block").where(itself | (later & in_reach))
+    pairs = written(pairs.select("block", "band", "part", "band_y", "part_y").withColumn("tile", F.xxhash64("block", "band", "part", "band_y", "part_y")), "tile-pairs")
+    here, there = ["block", "band", "part"], [F.col(c) for c in ("block", "band_y", "part_y")]
+    other = pairs.where("band != band_y OR part != part_y").select(*[c.alias(h) for c, h in zip(there, here)], "tile", F.lit(1).alias("side"))
+    sides = pairs.select(*here, "tile", F.lit(0).alias("side")).unionByName(other)
+    shipped = arrays.join(sides, here).select("tile", "side", "set", "bits", "hashes")
+    return _result(lean, components(_tile_links(shipped, rule)))
 
 
 def _result(lean: DataFrame, labels: DataFrame) -> DataFrame:
