@@ -14,7 +14,7 @@ from skyledger.llm.components import components
 from skyledger.llm.words import in_chunks, mix, shingle_sets
 
 #: Shingles of the sets in one side of a tile pair, so that a task's memory is bounded; a larger set is a side of its own.
-SIDE = 500_000
+SIDE = 2_000_000
 
 
 class Jaccard:
@@ -121,45 +121,28 @@ def _sets(docs: DataFrame, rule: Jaccard) -> DataFrame:
 
 
 def _signatures(docs: DataFrame, rule: Jaccard) -> DataFrame:
-    """key and set, once per task for each set: of copies, one speaks."""
+    """key, set and n, once per task for each set: of copies, one speaks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for batch in batches:
             for chunk in in_chunks(batch["text"]):
-                keys, names = [], []
+                keys, names, sizes = [], [], []
                 for hashes in shingle_sets(chunk, rule.width):
                     name = set_id(hashes)
                     if len(hashes) > 1 and name not in seen:
                         seen.add(name)
                         keys.append(rule.signatures(hashes))
                         names.append(name)
+                        sizes.append(len(hashes))
                 if keys:
-                    yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "set": np.repeat(names, [len(k) for k in keys])})
+                    times = [len(k) for k in keys]
+                    yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "set": np.repeat(names, times), "n": np.repeat(sizes, times)})
 
-    return docs.select("text").mapInPandas(run, "key long, set long")
+    return docs.select("text").mapInPandas(run, "key long, set long, n int")
 
 
-def _arrays(docs: DataFrame, rule: Jaccard) -> DataFrame:
-    """set, n, bits and hashes of each document."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for chunk in in_chunks(batch["text"]):
-                sets = [s for s in shingle_sets(chunk, rule.width) if len(s)]
-                yield pd.DataFrame(
-                    {
-                        "set": np.array([set_id(s) for s in sets], dtype=np.int64),
-                        "n": np.array([len(s) for s in sets], dtype=np.int64),
-                        "bits": [rule.bitmap(s).tobytes() for s in sets],
-                        "hashes": [s.tobytes() for s in sets],
-                    }
-                )
-
-    return docs.select("text").mapInPandas(run, "set long, n long, bits binary, hashes binary")
-
-
-def spanning_links(names: list[int], sides: list[int], hashes: list[np.ndarray], bitmaps: list[np.ndarray], rule: Jaccard) -> list[tuple[int, int]]:
+def spanning_links(names: list[int], sides: list[int], hashes: list[np.ndarray], rule: Jaccard) -> list[tuple[int, int]]:
     """Links that connect whatever links connect among these sets; with two sides, only across them.
 
     Sets ascend by size, and each looks at the larger ones within reach that it is not
@@ -169,7 +152,8 @@ def spanning_links(names: list[int], sides: list[int], hashes: list[np.ndarray],
     """
     order = sorted(range(len(names)), key=lambda k: len(hashes[k]))
     names, sides = [names[k] for k in order], np.array([sides[k] for k in order])
-    hashes, bitmaps = [hashes[k] for k in order], [bitmaps[k] for k in order]
+    hashes = [hashes[k] for k in order]
+    bitmaps = [rule.bitmap(h) for h in hashes]
     sizes, widths = np.array([len(h) for h in hashes]), np.array([len(b) for b in bitmaps])
     two, links, root = len(set(sides.tolist())) > 1, [], np.arange(len(names))
     for width in np.unique(widths):
@@ -193,13 +177,15 @@ def spanning_links(names: list[int], sides: list[int], hashes: list[np.ndarray],
 
 
 def _tile_links(rows: DataFrame, rule: Jaccard) -> DataFrame:
-    """Spanning links of each tile pair; rows come by tile, so a task holds one tile pair at a time."""
+    """Spanning links of each tile of (tile, side, set, text); rows come by tile, and a task holds one at a time."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def links(parts: list[pd.DataFrame]) -> list[tuple[int, int]]:
             part = parts[0] if len(parts) == 1 else pd.concat(parts)
-            arrays = ([np.frombuffer(x, np.uint64) for x in part[c]] for c in ("hashes", "bits"))
-            return spanning_links(part["set"].tolist(), part["side"].tolist(), *arrays, rule)
+            hashes = (h for chunk in in_chunks(part["text"]) for h in shingle_sets(chunk, rule.width))
+            # an id that several texts bear brings all of them: each set is taken once, under its own name
+            kept = {(name, side): h for name, side, h in zip(part["set"], part["side"], hashes) if set_id(h) == name}
+            return spanning_links([n for n, _ in kept], [side for _, side in kept], list(kept.values()), rule)
 
         held: list[pd.DataFrame] = []
         for batch in batches:
@@ -229,32 +215,36 @@ def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFram
     rows of their own. A component whose ids are all null has a null component_id.
 
     1. Each distinct set sends its name under its keys (``Jaccard.signatures``): sets
-       that link share a key, sets that do not seldom do. Keys with one set go; of the
-       others only the star around their smallest set remains, as many rows as sets.
-    2. Sets that keys connect form a block; no link leaves it. A block is cut into tiles
-       by size band, and bands into sides of bounded bytes; only tiles whose sizes allow
-       a link are paired. A set travels once per tile pair it is in.
+       that link share a key, sets that do not seldom do. A key's sets are cut where
+       neighbouring sizes are out of reach of each other; of each run only the star
+       around its smallest set remains, as many rows as sets.
+    2. Sets that runs connect form a block; no link leaves it. A block that one task can
+       hold is one tile; others are cut by size band, and bands into sides of bounded
+       bytes, and sides are paired where their sizes allow a link. A set travels once
+       per tile that it is in.
     3. A tile pair finds spanning links by bitmaps and exact intersection, so that a
        large group of near copies gives as many rows as it has members, not its square.
     """
     rule = rule or Jaccard()
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     lean = written(_sets(docs, rule), "sets")
-    by_key = Window.partitionBy("key")
-    stars = _signatures(docs, rule).repartition("key").withColumn("lead", F.min("set").over(by_key))
-    stars = written(stars.where("set != lead").select(F.col("lead").alias("a"), F.col("set").alias("b")).distinct(), "stars")
+    by_size = Window.partitionBy("key").orderBy("n", "set")
+    out_of_reach = F.col("n") * rule.percent > F.lag("n").over(by_size) * 100
+    runs = _signatures(docs, rule).repartition("key").withColumn("gap", out_of_reach.cast("int"))
+    runs = runs.withColumn("run", F.sum(F.coalesce("gap", F.lit(0))).over(by_size))
+    stars = runs.withColumn("lead", F.first("set").over(Window.partitionBy("key", "run").orderBy("n", "set"))).where("set != lead")
+    stars = written(stars.select(F.least("lead", "set").alias("a"), F.greatest("lead", "set").alias("b")).distinct(), "stars")
     blocks = components(stars).select(F.col("node").alias("set"), F.col("component").alias("block"))
 
     speakers = lean.groupBy("set").agg(F.min("id").alias("id"), F.max("n").alias("n")).join(blocks, "set")
-    band = F.expr("length(bin(n)) * 8 + shiftright(n, greatest(length(bin(n)) - 3, 0))")
-    speakers = speakers.withColumn("band", band)
+    totals = speakers.groupBy("block").agg((F.sum("n") > SIDE).alias("large"))
+    speakers = written(speakers.join(totals, "block"), "blocks")
     before = Window.partitionBy("block", "band").orderBy("n", "set").rowsBetween(Window.unboundedPreceding, -1)
-    speakers = speakers.withColumn("part", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / SIDE))
+    large = speakers.where("large").withColumn("band", F.expr("length(bin(n))"))
+    large = large.withColumn("part", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / SIDE))
+    small = speakers.where("NOT large").withColumn("band", F.lit(0)).withColumn("part", F.lit(0).cast("long"))
+    speakers = large.unionByName(small)
     speakers = written(speakers, "speakers")
-    rows = docs.join(speakers.select(F.col("id").alias("wanted")).distinct(), F.col("id").eqNullSafe(F.col("wanted")), "left_semi")
-    arrays = _arrays(rows, rule).dropDuplicates(["set"]).join(speakers.select("set", "block", "band", "part"), "set")
-    arrays = written(arrays, "arrays")
-
     x = speakers.groupBy("block", "band", "part").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("sets"))
     y = x.select("block", *[F.col(c).alias(f"{c}_y") for c in ("band", "part", "least", "sets")])
     later = (F.col("band_y") > F.col("band")) | ((F.col("band_y") == F.col("band")) & (F.col("part_y") > F.col("part")))
@@ -265,8 +255,9 @@ def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFram
     here, there = ["block", "band", "part"], [F.col(c) for c in ("block", "band_y", "part_y")]
     other = pairs.where("band != band_y OR part != part_y").select(*[c.alias(h) for c, h in zip(there, here)], "tile", F.lit(1).alias("side"))
     sides = pairs.select(*here, "tile", F.lit(0).alias("side")).unionByName(other)
-    shipped = arrays.join(sides, here).select("tile", "side", "set", "bits", "hashes")
-    return _result(lean, components(_tile_links(shipped, rule)))
+    members = speakers.join(sides, here).select(F.col("id").alias("speaker"), "set", "tile", "side")
+    rows = docs.join(members, F.col("id").eqNullSafe(F.col("speaker"))).select("tile", "side", "set", "text")
+    return _result(lean, components(_tile_links(rows, rule)))
 
 
 def _result(lean: DataFrame, labels: DataFrame) -> DataFrame:
