@@ -14,7 +14,7 @@ from skyledger.llm.components import components
 from skyledger.llm.words import in_chunks, mix, shingle_sets
 
 #: Shingles of the sets in one side of a tile pair, so that a task's memory is bounded; a larger set is a side of its own.
-SIDE = 2_000_000
+SIDE = 4_000_000
 
 
 class Jaccard:
@@ -251,11 +251,14 @@ def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFram
     itself = (F.col("band_y") == F.col("band")) & (F.col("part_y") == F.col("part")) & (F.col("sets") > 1)
     in_reach = F.col("least_y") * rule.percent <= F.col("most") * 100
     pairs = x.join(y, "block").where(itself | (later & in_reach))
-    pairs = written(pairs.select("block", "band", "part", "band_y", "part_y").withColumn("tile", F.xxhash64("block", "band", "part", "band_y", "part_y")), "tile-pairs")
-    here, there = ["block", "band", "part"], [F.col(c) for c in ("block", "band_y", "part_y")]
-    other = pairs.where("band != band_y OR part != part_y").select(*[c.alias(h) for c, h in zip(there, here)], "tile", F.lit(1).alias("side"))
-    sides = pairs.select(*here, "tile", F.lit(0).alias("side")).unionByName(other)
-    members = speakers.join(sides, here).select(F.col("id").alias("speaker"), "set", "tile", "side")
+    pairs = pairs.withColumn("tile", F.xxhash64("block", "band", "part", "band_y", "part_y")).withColumn("alone", itself)
+    pairs = written(pairs.select("block", "band", "part", "band_y", "part_y", "most", "least_y", "tile", "alone"), "tile-pairs")
+    # of two sides, only the sets that reach into the other travel
+    here = pairs.select("block", "band", "part", "tile", F.lit(0).alias("side"), F.when(~F.col("alone"), F.col("least_y")).alias("reach_down"), F.lit(None).cast("long").alias("reach_up"))
+    there = pairs.where("NOT alone").select("block", F.col("band_y").alias("band"), F.col("part_y").alias("part"), "tile", F.lit(1).alias("side"), F.lit(None).cast("long").alias("reach_down"), F.col("most").alias("reach_up"))
+    members = speakers.join(here.unionByName(there), ["block", "band", "part"])
+    members = members.where((F.col("reach_down").isNull() | (F.col("n") * 100 >= F.col("reach_down") * rule.percent)) & (F.col("reach_up").isNull() | (F.col("n") * rule.percent <= F.col("reach_up") * 100)))
+    members = members.select(F.col("id").alias("speaker"), "set", "tile", "side")
     rows = docs.join(members, F.col("id").eqNullSafe(F.col("speaker"))).select("tile", "side", "set", "text")
     return _result(lean, components(_tile_links(rows, rule)))
 
