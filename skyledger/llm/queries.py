@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, exact_dedup, jaccard, mixing, quality, sharding, url_filter
+from skyledger.llm import bpe, exact_dedup, jaccard, maxent, mixing, quality, sharding, url_filter
 from skyledger.llm.common import ship
 
 #: The tokenizer of op5 and of the pipeline.
@@ -101,6 +101,12 @@ def op7(documents: DataFrame) -> DataFrame:
     return rows.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op8_maxent_lm", "documents")
+def op8(documents: DataFrame) -> DataFrame:
+    """Log-probabilities of every whole text under the unigram base and the model."""
+    return maxent.scored(documents.select("doc_id", "text"))
+
+
 @query(
     "op9_adaptive_quality",
     "documents",
