@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyledger.llm import common, exact_dedup, quality
+from skyledger.llm import bpe, common, exact_dedup, jaccard, mixing, quality, queries
 
 #: No SQL expresses the later stages; tests/llm holds them against brute-force versions.
 ORACLE_SQL = None
@@ -20,7 +21,39 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return exact_dedup.keep_one(docs)
 
 
-STAGES = [("quality rules", good_documents), ("exact dedup", distinct_documents)]
+def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of near copies the document with the smallest id stays.
+
+    Near copies share five-word shingles to 80 percent at least. Documents without an id
+    cannot be named and stay.
+    """
+    common.ship(spark)
+    groups = jaccard.jaccard_components(docs, jaccard.Jaccard(percent=80, width=5))
+    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("doc_id").isNull())
+    stay = stay.select(F.col("doc_id").alias("stays")).distinct()
+    return docs.join(stay, docs["doc_id"].eqNullSafe(stay["stays"]), "left_semi")
+
+
+def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mixing: every document as often as its source's target asks for."""
+    common.ship(spark)
+    return mixing.copied(docs)
+
+
+def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Word BPE: ids of every document, and digests of the ids and of what they decode to."""
+    common.ship(spark)
+    codes = bpe.encoded(docs, queries.WORD_BPE, with_ids=True, carry=("doc_id", "lang", "source"))
+    return codes.select("row.*", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+
+
+STAGES = [
+    ("quality rules", good_documents),
+    ("exact dedup", distinct_documents),
+    ("n-gram Jaccard join", dissimilar_documents),
+    ("mixing sources to target weights", mixed_documents),
+    ("BPE encoding and decoding", encoded_documents),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

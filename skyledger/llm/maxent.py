@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import text_of, written
+from skyledger.llm.quality import bucket_of
 from skyledger.llm.words import in_chunks
 
 CLASSES = 256
 #: The most frequent words have classes of their own; class 0 is the end of a text.
 OWN = 127
 #: Words whose counts every task holds. Counts of all others are joined.
-HEAD = 1 << 18
+HEAD = 1 << 17
 #: Rows of the hashed table for pairs of preceding classes.
 PAIRS = 4096
 ROWS = 1 + 2 * CLASSES + PAIRS
@@ -156,21 +157,21 @@ def _expected(transitions: DataFrame, weights: np.ndarray | None) -> np.ndarray:
                 first = np.flatnonzero(np.r_[True, rows[order][1:] != rows[order][:-1]])
                 for row, total in zip(rows[order][first].tolist(), np.add.reduceat(counts[order], first)):
                     sums[row] = sums[row] + total if row in sums else total
-        yield pd.DataFrame({"row": list(sums), "sums": [s.tobytes() for s in sums.values()]})
+        yield pd.DataFrame({"row": list(sums), "sums": [s.astype(np.float32).tobytes() for s in sums.values()]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(s) for s in rows["sums"]], axis=0)
-        return pd.DataFrame({"row": rows["row"].iloc[:1], "sums": [total.tobytes()]})
+        total = np.sum([np.frombuffer(s, np.float32) for s in rows["sums"]], axis=0, dtype=np.float64)
+        return pd.DataFrame({"row": rows["row"].iloc[:1], "sums": [total.astype(np.float32).tobytes()]})
 
     kind = "row long, sums binary"
     out = np.zeros((ROWS, CLASSES))
     for row, sums in transitions.mapInPandas(run, kind).groupBy("row").applyInPandas(add, kind).collect():
-        out[row] = np.frombuffer(bytes(sums))
+        out[row] = np.frombuffer(bytes(sums), np.float32)
     model.unpersist()
     return out
 
 
-def train(transitions: DataFrame, rounds: int = 10, rate: float = 0.4, prior: float = 2.0) -> np.ndarray:
+def train(transitions: DataFrame, rounds: int = 8, rate: float = 0.4, prior: float = 2.0) -> np.ndarray:
     """Weights, ROWS by CLASSES, by full gradients over all transitions.
 
     The gradient of the log-likelihood is observed less expected counts. Each weight
@@ -235,7 +236,7 @@ def _scored(docs: DataFrame, own: list[bytes], head: dict[bytes, int], weights:
     return docs.mapInPandas(run, "uid long, doc_id long, word binary, n long, n_known long, share double, model double")
 
 
-def scored(docs: DataFrame, rounds: int = 10) -> DataFrame:
+def scored(docs: DataFrame, rounds: int = 8) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of (doc_id, text).
 
     Training rows are those whose crc32(doc_id as text) mod 5 is not 1; a null id counts
@@ -250,14 +251,18 @@ def scored(docs: DataFrame, rounds: int = 10) -> DataFrame:
 
     Counts of the HEAD most frequent words go to every task, a bound that does not grow;
     a document's other words are joined with the counts of all words, so that no word of
-    the vocabulary is left out. No such word is hot, as HEAD words are more frequent.
+    the vocabulary is left out. No such word is hot: about HEAD words are more frequent.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("body"))
     training = docs.where(~held_out(F.col("doc_id"))).select("body")
     counts = written(_counted(training), "counts")
     train_tokens, vocabulary = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
 
-    head = [(bytes(r["word"]), r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()]
+    # counts by their leading binary digits, a few hundred rows, tell from which count on all words fit
+    levels = counts.groupBy(F.expr(bucket_of("c")).alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    fitting = [r["level"] for r, total in zip(levels, np.cumsum([r["n"] for r in levels])) if total <= HEAD]
+    head = [(bytes(r["word"]), r["c"]) for r in counts.where(F.col("c") >= (fitting[-1] if fitting else 1 << 62)).collect()]
+    head.sort(key=lambda pair: (-pair[1], pair[0]))
     own = [word for word, _ in head if word != END][:OWN]
     head = dict(head)
     head.setdefault(END, 0)

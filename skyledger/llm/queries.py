@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, exact_dedup, jaccard, maxent, mixing, quality, sharding, url_filter
+from skyledger.llm import bpe, exact_dedup, html_text, jaccard, licenses, maxent, mixing, quality, sharding, url_filter
 from skyledger.llm.common import ship
 
 #: The tokenizer of op5 and of the pipeline.
@@ -42,6 +42,20 @@ def query(name: str, table: str, oracle: str | None = None):
     return register
 
 
+@query("op1_license_scan", "documents")
+def op1(documents: DataFrame) -> DataFrame:
+    """The license notices of every document: all in order, and the one with the most words in common."""
+    rows = licenses.scanned(documents.select("doc_id", "text"), carry=("doc_id",))
+    best = F.expr("array_max(transform(found, x -> named_struct('c', x.coverage, 'words', x.last_word - x.first_word, 'name', x.license)))")
+    return rows.select(
+        "row.doc_id",
+        best["name"].alias("license"),
+        F.coalesce(best["c"], F.lit(0.0)).alias("coverage"),
+        F.size("found").cast("long").alias("n_notices"),
+        F.expr("array_join(transform(found, x -> x.license), '; ')").alias("notices"),
+    )
+
+
 @query(
     "op2_url_filter",
     "pages",
@@ -81,6 +95,12 @@ def op3(documents: DataFrame) -> DataFrame:
     )
 
 
+@query("op4_main_text", "pages")
+def op4(pages: DataFrame) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extracted(pages)
+
+
 @query("op5_word_bpe", "documents")
 def op5(documents: DataFrame) -> DataFrame:
     """Token ids of every whole text, and what they decode to, as digests."""
