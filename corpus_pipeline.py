@@ -41,10 +41,10 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Word BPE: ids of every document, and digests of the ids and of what they decode to."""
+    """Word BPE: how many tokens each document has, and digests of its ids and of what they decode to."""
     common.ship(spark)
-    codes = bpe.encoded(docs, queries.WORD_BPE, with_ids=True, carry=("doc_id", "lang", "source"))
-    return codes.select("row.*", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    codes = bpe.encoded(docs, queries.WORD_BPE, carry=("doc_id", "lang", "source"))
+    return codes.select("row.*", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [

@@ -21,7 +21,7 @@ END = "</w>"
 #: Texts are cut at blanks into pieces of about this many characters: no word spans a blank.
 PIECE = 1 << 20
 #: Words of a generation that a worker remembers, and the longest of them.
-REMEMBERED, REMEMBERED_LENGTH = 400_000, 40
+REMEMBERED, REMEMBERED_LENGTH = 100_000, 40
 #: Longer words are merged one by one with a heap.
 SHORT = 200
 NEVER = np.int64(1) << 40
