@@ -15,7 +15,9 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
     label's, so that labels travel along links and jump along chains of labels. Partial
     aggregation keeps a node with very many links from meeting in one task.
     """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    # written first: links may come out of another evaluation in another order or choice
+    links = written(links.select("a", "b"), "found")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = written(both, "links")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), "labels")
     for _ in range(rounds):

@@ -68,18 +68,16 @@ def exact_duplicates(docs: DataFrame, salts: int = 16) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, salts: int = 16) -> DataFrame:
-    """The rows of ``docs`` that stay, whole, one per distinct content.
+    """The rows of ``docs`` that stay, whole, one per distinct content, by the rule of ``exact_duplicates``.
 
-    The same three stages, with the winner's row carried along: nothing is joined back,
-    repeated ids do no harm, and columns of any name pass through.
+    The winners, without texts, are joined with the rows on id, digest and length: a
+    group of copies is spread by its ids. Columns of any name pass through; of rows that
+    repeat id and content one stays.
     """
-    body = normal_text()
-    best = F.struct(
-        (-F.char_length(text_of())).alias("shorter"), F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("doc_id"),
-        F.struct("*").alias("row"),
-    )
-    rows = docs.select(
-        _digest(body).alias("digest"), body.alias("body"), F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt"), best.alias("best")
-    )
-    salted = rows.groupBy("digest", "salt", "body").agg(F.min("best").alias("best"))
-    return salted.groupBy("digest", "body").agg(F.min("best").alias("best")).select("best.row.*")
+    best = groups_of_copies(docs, salts).select("digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.shorter")).alias("length"))
+    best = written(best, "winners")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), _digest(normal_text()).alias("digest"), F.char_length(text_of()).alias("length"))
+    keys = ["nameless", "named", "digest", "length"]
+    rows = rows.withColumn("nameless", F.col("id").isNull()).withColumn("named", F.coalesce(F.col("id"), F.lit(0))).drop("id")
+    best = best.withColumn("nameless", F.col("keep_id").isNull()).withColumn("named", F.coalesce(F.col("keep_id"), F.lit(0))).drop("keep_id")
+    return rows.join(best, keys).dropDuplicates(keys).select("row.*")

@@ -49,7 +49,7 @@ def shingle_sets(texts: Sequence[str], width: int) -> Iterator[np.ndarray]:
     hashes, ends = word_hashes(texts)
     n = len(hashes)
     rolled = np.zeros(max(n - width + 1, 0), dtype=np.uint64)
-    for i in range(width):
+    for i in range(width if len(rolled) else 0):
         rolled = rolled * STEP + hashes[i : n - width + 1 + i]
     rolled = mix(rolled)
     start = 0
