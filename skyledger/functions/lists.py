@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def list_items(c: Column, delimiters: str = "/") -> Column:
     """Split on any of the delimiter characters and drop empty items."""
-    return F.filter(F.split(c, f"[\\Q{delimiters}\\E]"), lambda item: item != "")
+    return F.array_remove(F.split(c, f"[\\Q{delimiters}\\E]"), "")
 
 
 def explode_list(df: DataFrame, column: str, item: str, delimiters: str = "/") -> DataFrame:

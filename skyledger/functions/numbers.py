@@ -31,15 +31,17 @@ def _has_no_double(s: str) -> str:
 
 
 def number_sql(s: str, otherwise: str = "NULL") -> str:
-    """Plain numbers first, the common case. Units multiply as decimals, which
-    keeps values such as 1.1M exact; ``M`` wins over ``yr``."""
+    """Plain numbers first, the common case; ``M`` wins over ``yr``. Numbers of few
+    digits multiply with their unit as decimals, which keeps values such as 1.1M
+    exact and cuts nothing; all others multiply as doubles."""
     text = _undoubted(s)
     unit = f"CASE WHEN {text} LIKE '%M' THEN 1000000 ELSE {DAYS_PER_YEAR} END"
+    digits = f"trim(rtrim('yrM', {text}))"
     return f"""
     CASE WHEN {text} RLIKE '^{_PLAIN}$' THEN CAST({text} AS DOUBLE)
       WHEN {_has_no_number(s)} THEN NULL
-      WHEN {text} RLIKE '^{_PLAIN}(yr)?M?$' THEN
-        coalesce(CAST(try_cast(trim(rtrim('yrM', {text})) AS DECIMAL(38, 12)) * {unit} AS DOUBLE), {otherwise})
+      WHEN {text} RLIKE '^ *[+-]?[0-9]{{1,15}}([.][0-9]{{0,4}})? *(yr)?M?$' THEN CAST(CAST({digits} AS DECIMAL(19, 4)) * {unit} AS DOUBLE)
+      WHEN {text} RLIKE '^{_PLAIN}(yr)?M?$' THEN CAST({digits} AS DOUBLE) * {unit}
       ELSE {otherwise} END"""
 
 

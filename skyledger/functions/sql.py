@@ -23,7 +23,7 @@ def definitions() -> list[str]:
     def scalar(name: str, returns: str, body: str, params: str = "s STRING") -> str:
         return f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}"
 
-    split = r"filter(split(s, concat('[\\Q', delimiters, '\\E]')), x -> x <> '')"
+    split = r"array_remove(split(s, concat('[\\Q', delimiters, '\\E]')), '')"
     return sql_definitions() + [
         scalar("clean_text", "STRING", clean_sql("s")),
         scalar("decorated_to_number", "DOUBLE", number_sql("s", fail_sql("s", "number"))),

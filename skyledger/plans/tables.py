@@ -103,6 +103,7 @@ REPEATED_WORLDS = (("(47171)", "61200?"), ("(617)", "1360"), ("(79360)", "46600?
 
 # Launches whose payload organization is not yet in the organization file.
 UNLISTED_PAYLOAD_ORGS = ("2023-S29", "2024-S76", "2024-S85")
+UNLISTED_ORG = "RIT"
 
 # Stray three-digit years at the end of launch tags.
 _TAG_TAIL = r"\s+(194|195|196|197|198|199|200|201|202)$"
@@ -352,15 +353,16 @@ def _suborbital(x: Inputs) -> DataFrame:
 
 
 def launch_payload_org(x: Inputs) -> DataFrame:
-    staged = _suborbital(x).filter(~F.col("Launch_Tag").isin(*UNLISTED_PAYLOAD_ORGS))
     rows = bridge(
-        staged,
+        _suborbital(x),
         {"lpo_l_launch_tag": "Launch_Tag"},
         "Group",
         "lpo_o_code",
         prepare=lambda c: before_last(_undoubted(c), "/"),
     )
-    return correct(rows, [PAYLOAD_ORG_FIX])
+    rows = correct(rows, [PAYLOAD_ORG_FIX])
+    unlisted = F.col("lpo_l_launch_tag").isin(*UNLISTED_PAYLOAD_ORGS) & (F.col("lpo_o_code") == UNLISTED_ORG)
+    return rows.filter(~unlisted)
 
 
 def launch_investigator(x: Inputs) -> DataFrame:
@@ -452,7 +454,7 @@ def satellite(x: Inputs) -> DataFrame:
         }
     )
     # Alternative names: repeated (id, name) pairs count once; different names of one id stay as rows.
-    other = x.staged["usatcat"].select(F.col("JCAT").alias("__jcat"), clean(F.col("Name")).alias("s_unicode_name"))
+    other = x.staged["usatcat"].select(clean(F.col("JCAT")).alias("__jcat"), clean(F.col("Name")).alias("s_unicode_name"))
     df = left_detail(df, materialised(other.distinct(), "names"), "s_jcat", "__jcat")
     df = correct(df, [exact("s_parent_s_jcat_or_w_name", SATELLITE_PARENTS)])
     # Piece to name, with the parsed type and parent where their text stood.
