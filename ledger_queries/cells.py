@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ledger_queries.registry import Tables
-from skyledger.session import spread
 from skyledger.sources.registry import LAYOUTS
 
 
@@ -30,7 +29,7 @@ def layout(df: DataFrame, name: str, first: dict[str, str] | None = None, **cell
     if unknown:
         raise ValueError(f"{name} has no columns {unknown}")
     texts = (first or {}) | {c: cells.get(c, "'-'") for c in LAYOUTS[name].split()}
-    return spread(df).selectExpr(*[f"{text} AS `{c}`" for c, text in texts.items()])
+    return df.selectExpr(*[f"{text} AS `{c}`" for c, text in texts.items()])
 
 
 # A day derived from a key; both sides of the check use the same rule.

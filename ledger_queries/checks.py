@@ -201,7 +201,20 @@ def reconciliation(t: Tables) -> DataFrame:
     return quality.reconciled(world, F.col("w_spin_rho").isNotNull(), t.supplier, "world", "spin rows")
 
 
-WIDE = {"customer": ("c_name", "c_mktsegment"), "part": ("p_name", "p_brand", "p_type"), "documents": ("text", "lang", "source")}
+WIDE = {
+    "region": ("r_name",),
+    "nation": ("n_name",),
+    "customer": ("c_name", "c_mktsegment"),
+    "supplier": ("s_name",),
+    "part": ("p_name", "p_brand", "p_type"),
+    "orders": ("o_orderstatus", "o_orderpriority"),
+    "lineitem": ("l_returnflag", "l_linestatus"),
+    "events": ("event_type", "props"),
+    "documents": ("text", "lang", "source"),
+    "pages": ("url", "html"),
+    "benchmark": ("text",),
+    "conversations": ("role", "text"),
+}
 
 
 @query(

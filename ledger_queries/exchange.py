@@ -19,20 +19,20 @@ from skyledger.sources.registry import OBJECT_CATALOGS, SourceSpec, registry_fra
 from skyledger.sources.text_files import first_lines, header_columns, newest_files, read_log, read_source, read_sources
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
+def write_tsv(df: DataFrame, path: str, mode: str = "overwrite", folders_by: str | None = None) -> None:
     """A catalog as text: every part file starts with the ``#`` header."""
     named = df.withColumnRenamed(df.columns[0], f"#{df.columns[0]}")
-    write_csv(named, path, delimiter="\t")
+    write_csv(named, path, mode, delimiter="\t", folders_by=folders_by)
 
 
 def spec_of(name: str, df: DataFrame) -> SourceSpec:
     return SourceSpec(name, tuple(df.columns), 1)
 
 
-@query("q_tsv_roundtrip", "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer")
+@query("q_tsv_roundtrip", "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM customer")
 def tsv_roundtrip(t: Tables) -> DataFrame:
     """Written with a header per part file; read back without headers and comments."""
-    df = t.customer.selectExpr("CAST(c_custkey AS STRING) AS c_custkey", "c_name", "c_mktsegment")
+    df = t.customer.select([F.col(c).cast("string") for c in t.customer.columns])
     root, spec = scratch(t.spark, "tsv"), spec_of("customer", df)
     write_tsv(df, spec.path(root))
     t.spark.range(1).select(F.lit("# a comment").alias("line")).write.mode("append").text(spec.path(root))
@@ -42,22 +42,34 @@ def tsv_roundtrip(t: Tables) -> DataFrame:
 @query(
     "q_tagged_scan",
     """
-    SELECT CASE l_returnflag WHEN 'A' THEN 'satcat' WHEN 'N' THEN 'auxcat' ELSE 'deepcat' END AS s_catalog, count(*) AS objects,
-      count(DISTINCT l_partkey) AS names FROM lineitem GROUP BY ALL""",
+    SELECT (["""
+    + ", ".join(f"'{name}'" for name in OBJECT_CATALOGS)
+    + f"""])[1 + l_partkey % {len(OBJECT_CATALOGS)}] AS s_catalog, count(*) AS objects,
+      count(DISTINCT l_partkey) AS names, CAST(sum(l_quantity) AS BIGINT) AS mass, count(DISTINCT l_orderkey) AS launches,
+      count(*) FILTER (l_linestatus = 'F') AS unmade FROM lineitem GROUP BY ALL""",
 )
 def tagged_scan(t: Tables) -> DataFrame:
-    """Several catalog files in one scan, each row tagged with its file."""
+    """All catalog files with all columns, written in one pass and read in one scan, each row tagged with its file."""
     root = scratch(t.spark, "catalogs")
-    staged = cells.objects(t).select("s_catalog", "JCAT", "Launch_Tag", "Name", "Owner")
-    specs = [spec_of(name, staged.drop("s_catalog")) for name in OBJECT_CATALOGS if name in ("satcat", "auxcat", "deepcat")]
-    for spec in specs:
-        write_tsv(staged.filter(F.col("s_catalog") == spec.name).drop("s_catalog"), spec.path(root))
+    files = F.array(*[F.lit(f"{name}.tsv") for name in OBJECT_CATALOGS])
+    place = F.trim("Satcat").cast("long") % len(OBJECT_CATALOGS)
+    staged = cells.objects(t).drop("s_catalog")
+    write_tsv(staged.withColumn("file", F.get(files, place.cast("int"))), root, folders_by="file")
+    specs = [spec_of(f"file={name}", staged) for name in OBJECT_CATALOGS]
     rows = read_sources(t.spark, root, specs, "s_catalog")
-    names = rows.groupBy("s_catalog", "Name").agg(F.count("*").alias("n"))
-    return names.groupBy("s_catalog").agg(F.sum("n").alias("objects"), F.count("Name").alias("names"))
+    return rows.groupBy(F.substring_index("s_catalog", "=", -1).alias("s_catalog")).agg(
+        F.count("*").alias("objects"),
+        F.countDistinct("Name").alias("names"),
+        F.sum(F.col("Mass").cast("double")).cast("long").alias("mass"),
+        F.countDistinct(F.regexp_extract("JCAT", "J([0-9]+)-", 1)).alias("launches"),
+        F.count_if(F.col("Manufacturer") == "-").alias("unmade"),
+    )
 
 
-HEADERS = {"customer": ("c_custkey", "c_name", "c_mktsegment"), "part": ("p_partkey", "p_name", "p_brand", "p_type")}
+HEADERS = {
+    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
+}
 
 
 def written_headers(t: Tables) -> tuple[str, dict[str, SourceSpec]]:
@@ -90,15 +102,20 @@ def header_split(t: Tables) -> DataFrame:
 @query(
     "q_header_drift",
     """
+    WITH h AS (SELECT concat_ws(chr(9), '#p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size', 'p_retailprice') AS header)
     SELECT 'header' AS "check", 'part' AS table_name, 'first line' AS rule,
-      'Expected: #p_partkey' || chr(9) || 'p_title' || chr(9) || 'p_brand' || chr(9) || 'p_type' || chr(10)
-      || 'Actual: #p_partkey' || chr(9) || 'p_name' || chr(9) || 'p_brand' || chr(9) || 'p_type' AS value, CAST(1 AS BIGINT) AS row_count
-    WHERE (SELECT count(*) FROM part) > 0""",
+      'Expected: ' || header || chr(10) || 'Actual: ' || replace(header, 'p_name', 'p_title') AS value, CAST(1 AS BIGINT) AS row_count,
+      2 * (SELECT count(*) FROM part) AS source_rows, (SELECT max(p_retailprice) FROM part) AS dearest FROM h""",
 )
 def header_drift(t: Tables) -> DataFrame:
+    """One of two part files has another header; the report, beside what the source holds."""
     root, specs = written_headers(t)
-    expected = specs | {"part": SourceSpec("part", ("p_partkey", "p_title", "p_brand", "p_type"), 1)}
-    return quality.header_drift(first_lines(t.spark, root, specs.values()), registry_frame(t.spark, expected))
+    write_tsv(t.part.withColumnRenamed("p_name", "p_title"), specs["part"].path(root), "append")
+    report = quality.header_drift(first_lines(t.spark, root, specs.values()), registry_frame(t.spark, specs))
+    held = read_source(t.spark, root, specs["part"]).agg(
+        F.lit("part").alias("table_name"), F.count("*").alias("source_rows"), F.max(F.col("p_retailprice").cast("double")).alias("dearest")
+    )
+    return report.join(held, "table_name")
 
 
 @query("q_physical_lines", "SELECT count(*) AS lines, CAST(0 AS BIGINT) AS misplaced FROM orders")
@@ -113,19 +130,19 @@ def physical_lines(t: Tables) -> DataFrame:
     return spread.agg(F.sum("n").alias("lines"), F.sum(F.col("hi") - F.col("lo")).alias("misplaced"))
 
 
-@query("q_log_lines", "SELECT doc_id || ' ' || lang AS line FROM documents UNION ALL SELECT NULL")
+@query("q_log_lines", "SELECT concat_ws(' ', doc_id, lang, translate(text, chr(10) || chr(13), '  ')) AS line FROM documents UNION ALL SELECT NULL")
 def log_lines(t: Tables) -> DataFrame:
     """A log as one column; an empty line is a null."""
     path = scratch(t.spark, "log")
-    t.documents.select(F.concat_ws(" ", F.col("doc_id").cast("string"), "lang").alias("line")).write.text(path)
+    t.documents.select(F.concat_ws(" ", F.col("doc_id").cast("string"), "lang", F.translate("text", "\n\r", "  ")).alias("line")).write.text(path)
     t.spark.range(1).select(F.lit("").alias("line")).write.mode("append").text(path)
     return read_log(t.spark, path)
 
 
-@query("q_csv_roundtrip", "SELECT doc_id, nullif(text, '') AS text, lang, source FROM documents")
+@query("q_csv_roundtrip", "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
 def csv_roundtrip(t: Tables) -> DataFrame:
     """Whole texts with quotes, commas and line breaks, exported in order and read back."""
-    df = t.documents.select("doc_id", "text", "lang", "source")
+    df = t.documents.select("doc_id", "text", "lang", "source", "n_chars")
     path = scratch(t.spark, "csv")
     export_sorted_csv(df, path)
     return read_csv_export(t.spark, path, df.schema)
@@ -133,27 +150,28 @@ def csv_roundtrip(t: Tables) -> DataFrame:
 
 @query(
     "q_batch_append",
-    "SELECT event_id, event_type, date_trunc('second', ts) AS ts, value FROM events WHERE event_type IN ('click', 'error')",
+    "SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events",
 )
 def batch_append(t: Tables) -> DataFrame:
-    """The results of two query texts in one export."""
+    """The results of two query texts, which together cover the table, in one export."""
     path = scratch(t.spark, "dump")
     t.events.createOrReplaceTempView("dumped_events")
-    for i, kind in enumerate(("click", "error")):
-        text = f"SELECT event_id, event_type, ts, value FROM dumped_events WHERE event_type = '{kind}'"
+    paid = "coalesce(event_type IN ('click', 'error'), false)"
+    for i, part in enumerate((paid, f"NOT {paid}")):
+        text = f"SELECT * FROM dumped_events WHERE {part}"
         dump_query(t.spark, text, path, append=i > 0, delimiter="|", header=True, timestamp_format="yyyy-MM-dd HH:mm:ss")
-    return read_csv_export(t.spark, path, t.events.select("event_id", "event_type", "ts", "value").schema, delimiter="|")
+    return read_csv_export(t.spark, path, t.events.schema, delimiter="|")
 
 
 @query(
     "q_unsupported_type",
-    "SELECT CAST(vec_id AS VARCHAR) AS vec_id, 'WARNING - ARRAY type is not supported' AS embedding FROM embeddings",
+    "SELECT CAST(vec_id AS VARCHAR) AS vec_id, 'WARNING - ARRAY type is not supported' AS embedding, CAST(label AS VARCHAR) AS label FROM embeddings",
 )
 def unsupported_type(t: Tables) -> DataFrame:
     """Columns that text cannot hold become a warning."""
     path = scratch(t.spark, "warned")
-    write_csv(t.embeddings.select("vec_id", "embedding"), path)
-    return t.spark.read.option("header", "true").schema("vec_id string, embedding string").csv(path)
+    write_csv(t.embeddings.select("vec_id", "embedding", "label"), path)
+    return t.spark.read.option("header", "true").schema("vec_id string, embedding string, label string").csv(path)
 
 
 @query(
@@ -202,17 +220,15 @@ def snapshot_roundtrip(t: Tables) -> DataFrame:
     return t.spark.sql("SELECT * FROM public_orders")
 
 
-@query("q_newest_file", "SELECT 'v2' AS newest_version, count(*) AS rows_in_newest FROM orders")
+@query("q_newest_file", "SELECT 'v2' AS newest_version, * FROM orders")
 def newest_file(t: Tables) -> DataFrame:
-    """Files listed newest first without reading them; then the newest version is read."""
+    """Files listed newest first without reading them; then the newest version alone is read."""
     root = scratch(t.spark, "files")
     for version in ("v1", "v2"):
-        t.orders.select("o_orderkey").write.parquet(f"{root}/{version}")
-    newest = newest_files(t.spark, root).filter(F.col("path").endswith(".parquet")).limit(1)
-    version = F.regexp_extract("path", "([^/]+)/[^/]+$", 1)
-    rows = t.spark.read.parquet(f"{root}/v1", f"{root}/v2").groupBy(F.col("_metadata.file_path").alias("path")).count()
-    counts = rows.groupBy(version.alias("newest_version")).agg(F.sum("count").alias("rows_in_newest"))
-    return newest.select(version.alias("newest_version")).join(counts, "newest_version")
+        t.orders.write.parquet(f"{root}/{version}")
+    newest = newest_files(t.spark, root).filter(F.col("path").endswith(".parquet")).head()["path"]
+    version = newest.split("/")[-2]
+    return t.spark.read.parquet(f"{root}/{version}").select(F.lit(version).alias("newest_version"), "*")
 
 
 @query(

@@ -22,7 +22,6 @@ from skyledger.operators.lookups import (
 )
 from skyledger.operators.numbering import with_row_numbers
 from skyledger.plans.shape import bridge, token_map
-from skyledger.session import materialised, spread
 
 
 def part_lists(t: Tables) -> DataFrame:
@@ -70,7 +69,7 @@ def list_flag(t: Tables) -> DataFrame:
 )
 def list_charset_delim(t: Tables) -> DataFrame:
     """Whole texts split at a set of delimiter characters."""
-    rows = explode_list(spread(t.documents.select("doc_id", "text")), "text", "item", " ,.\n")
+    rows = explode_list(t.documents.select("doc_id", "text"), "text", "item", " ,.\n")
     return rows.groupBy("doc_id").agg(F.count("*").alias("items"), F.max(F.octet_length("item")).cast("long").alias("longest"))
 
 
@@ -210,7 +209,8 @@ def union_additions(t: Tables) -> DataFrame:
     GROUP BY o_orderpriority""",
 )
 def left_join_detail(t: Tables) -> DataFrame:
-    detail = materialised(t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines")), "detail")
+    # One row per order on both sides, so no key is hot and the aggregate's partitions serve the join.
+    detail = t.lineitem.groupBy("l_orderkey").agg(F.count("*").alias("lines"))
     joined = left_detail(t.orders.select("o_orderkey", "o_orderpriority"), detail, "o_orderkey", "l_orderkey")
     return joined.groupBy("o_orderpriority").agg(
         F.count("*").alias("orders"), F.count("lines").alias("with_lines"), F.sum(F.coalesce("lines", F.lit(0))).alias("lines")

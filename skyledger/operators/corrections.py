@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.text import blank_to_null
-from skyledger.session import materialised
+from skyledger.operators.lookups import rebalanced
 
 
 @dataclass(frozen=True)
@@ -115,14 +115,13 @@ def correct_from_table(df: DataFrame, rules: DataFrame, column: str, match: str,
     """First-match value mapping by a rules table of any size.
 
     The rules are reduced to one per value before the left join, so no row can
-    multiply, and written once: Spark then knows their size and broadcasts them
-    if small, or splits skewed values of the other side if not.
+    multiply, and rebalanced: adaptive execution then broadcasts them if small, or
+    splits skewed values of the other side if not.
     """
-    first = materialised(
+    first = rebalanced(
         rules.groupBy(F.col(match).alias("__match")).agg(
             F.min_by(F.struct(F.col(replacement).alias("value")), F.col(order)).alias("__rule")
-        ),
-        "rules",
+        )
     )
     joined = df.join(first, F.col(column) == F.col("__match"), "left")
     fixed = F.when(F.col("__rule").isNotNull(), F.col("__rule.value")).otherwise(F.col(column))

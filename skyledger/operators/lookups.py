@@ -1,10 +1,10 @@
 """Lookup joins: details, surrogate keys, membership and routing.
 
-A lookup that is first reduced to one row per key is written to the shared folder
-before the join. The join then has a plain scan on each side: a small lookup is
-broadcast because its file size is known, and with a large one Spark can split a
-skewed partition of the other side, which it does not do when an aggregation sits
-between the shuffle and the join.
+A lookup is first reduced to one row per key and then rebalanced, all within the
+plan: nothing runs before the caller's action. The join has a shuffle of its own on
+each side, so adaptive execution knows the lookup's size, broadcasts a small one,
+and with a large one splits a skewed partition of the other side, which it does not
+do when an aggregation sits between the shuffle and the join.
 """
 
 from __future__ import annotations
@@ -14,7 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.session import materialised
+
+def rebalanced(lookup: DataFrame) -> DataFrame:
+    """An aggregated lookup in even partitions, see the note on lookups above."""
+    return lookup.hint("rebalance")
 
 
 def tagged_union(frames: dict[str, DataFrame], tag: str) -> DataFrame:
@@ -29,8 +32,8 @@ def distinct_union(*frames: DataFrame) -> DataFrame:
 
 
 def left_detail(df: DataFrame, detail: DataFrame, key: str, detail_key: str) -> DataFrame:
-    """Left join that keeps the key once. `detail` should be a table, not an
-    aggregation of one; see the note on lookups above."""
+    """Left join that keeps the key once. `detail` should be a table, or
+    an aggregation made `rebalanced` if a key of `df` may be hot."""
     return df.join(detail, F.col(key) == F.col(detail_key), "left").drop(detail_key)
 
 
@@ -40,7 +43,7 @@ def with_surrogate(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str,
     The lookup is first reduced to one row per name, so a repeated name cannot
     multiply rows; `repeated_names` reports those names.
     """
-    one = materialised(lookup.groupBy(F.col(lookup_key).alias("__name")).agg(F.min(surrogate).alias(name)), "lookup")
+    one = rebalanced(lookup.groupBy(F.col(lookup_key).alias("__name")).agg(F.min(surrogate).alias(name)))
     return df.join(one, F.col(key) == F.col("__name"), "left").drop("__name")
 
 
@@ -56,7 +59,7 @@ def repeated_names(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str)
 
 def with_membership(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, flag: str) -> DataFrame:
     """Add whether the key exists in the lookup; never multiplies rows."""
-    known = materialised(lookup.select(F.col(lookup_key).alias("__known")).distinct(), "lookup")
+    known = rebalanced(lookup.select(F.col(lookup_key).alias("__known")).distinct())
     joined = df.join(known, F.col(key) == F.col("__known"), "left")
     return joined.withColumn(flag, F.col("__known").isNotNull()).drop("__known")
 
@@ -65,12 +68,14 @@ def with_key_count(df: DataFrame, keys: list[str], count: str) -> DataFrame:
     """Rows per key beside each row, as a window count would give; nulls are equal.
 
     The counts are aggregated and joined back, so a key that fills a third of
-    the table is never one window in one task.
+    the table is never one window in one task. Only keys counted above one travel.
     """
     names = [f"__key_{i}" for i in range(len(keys))]
     counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count("*").alias(count))
     match = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
-    return df.join(materialised(counts, "counts"), reduce(lambda a, b: a & b, match), "left").drop(*names)
+    repeated = rebalanced(counts.filter(F.col(count) > 1))
+    joined = df.join(repeated, reduce(lambda a, b: a & b, match), "left").drop(*names)
+    return joined.withColumn(count, F.coalesce(count, F.lit(1).cast("long")))
 
 
 def route(value: Column, matched: Column, hit: str, miss: str) -> list[Column]:

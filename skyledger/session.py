@@ -22,16 +22,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores to all cores.
-
-    For heavy projections over small or unsplittable files. Large inputs have
-    more splits than cores and pass unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 

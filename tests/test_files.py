@@ -159,3 +159,15 @@ def test_install_refuses_existing_tables(spark):
     finally:
         snapshots.drop_tables(spark, list(tables))
     assert snapshots.existing_tables(spark, tables) == []
+
+
+def test_part_files_are_checked_and_numbered_through(spark, tmp_path):
+    """Each part file's header counts, and line numbers go on from file to file."""
+    folder = tmp_path / SPEC.folder / SPEC.file_name
+    folder.mkdir(parents=True)
+    cells = "\t".join("x" for _ in SPEC.columns)
+    (folder / "part-0.txt").write_text(f"{SPEC.header}\n{cells}\n{cells}\n")
+    (folder / "part-1.txt").write_text(f"#other\n{cells}\n")
+    lines = {r["first_line"]: r["files"] for r in first_lines(spark, str(tmp_path), [SPEC]).collect()}
+    assert lines == {SPEC.header: 1, "#other": 1}
+    assert sorted(r[0] for r in read_numbered_source(spark, str(tmp_path), SPEC).collect()) == [2, 3, 5]
