@@ -253,6 +253,17 @@ def test_pages(spark):
     assert got == [(w, len(w)) for w in want]
 
 
+@pytest.mark.parametrize("bin_pages", [2, 256])
+def test_repeats_of_a_host_of_any_size(spark, monkeypatch, bin_pages):
+    monkeypatch.setattr(html_text, "BIN_PAGES", bin_pages)
+    notice = "<div>our office moves next week and phones may stay silent</div>"
+    html = [f"{notice if i < 15 else ''}<p>alpha{i} beta{i}</p>" for i in range(250)]
+    html += ["<p>one page that two urls of the host serve stays whole</p>"] * 2
+    df = spark.createDataFrame([(i, "http://h/x", h) for i, h in enumerate(html)], "page_id long, url string, html string").repartition(6, "page_id")
+    got = {r["page_id"]: r["text"] for r in html_text.extracted(df).collect()}
+    assert got == {i: f"alpha{i} beta{i}" if i < 250 else "one page that two urls of the host serve stays whole" for i in range(252)}
+
+
 def test_licenses(docs):
     got = {r["doc_id"]: r for r in queries.op1(docs).collect()}
     assert got[13]["notices"] == "MIT; Apache-2.0" and got[13]["n_notices"] == 2 and got[13]["license"] == "Apache-2.0"
