@@ -264,6 +264,28 @@ def test_repeats_of_a_host_of_any_size(spark, monkeypatch, bin_pages):
     assert got == {i: f"alpha{i} beta{i}" if i < 250 else "one page that two urls of the host serve stays whole" for i in range(252)}
 
 
+def test_pages_with_articles(spark):
+    body = "a long report that no article element holds but every reader wants to see in full"
+    menu = "home news sport weather travel money culture science video contact"
+    html = [
+        f"<div>{body}</div><article>related story teaser</article>",
+        "<div class='has-sidebar'><article>inside</article></div>",
+        "<article class='no-sidebar'><p>named</p></article>",
+        "<div class='sidebar'><p>gone</p></div><article>kept<div class='related'><h3>see also</h3>more</div><div class='share'>tweet</div></article>",
+        f"<div>{menu}</div><article>one two three four five six seven eight nine ten eleven twelve</article>",
+        f"<nav>{menu}</nav><article>nav</article>",
+        f"<p>{menu}</p><p>alone here</p>",
+        f"<article>text<div id='search'><h2>{menu}</h2>find</div></article>",
+        "<div>open one</div><article>an article of more words than open blocks have</article>",
+    ]
+    df = spark.createDataFrame([(i, "http://h/x", h) for i, h in enumerate(html)], "page_id long, url string, html string").repartition(3)
+    got = [r["text"] for r in html_text.extracted(df).orderBy("page_id").collect()]
+    assert got == [
+        f"{body}\nrelated story teaser", "inside", "named", "kept\nsee also\nmore", "one two three four five six seven eight nine ten eleven twelve",
+        "nav", "alone here", "text\nfind", "an article of more words than open blocks have",
+    ]
+
+
 def test_licenses(docs):
     got = {r["doc_id"]: r for r in queries.op1(docs).collect()}
     assert got[13]["notices"] == "MIT; Apache-2.0" and got[13]["n_notices"] == 2 and got[13]["license"] == "Apache-2.0"
