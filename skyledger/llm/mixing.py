@@ -87,16 +87,55 @@ def tilts(cells: DataFrame, goals: DataFrame, most: float, tolerance: float = 1e
     return state
 
 
-def _rounded(cells: pd.DataFrame) -> pd.DataFrame:
-    """Whole copies for the sizes of one source, the largest first; each passes its rest on to the next."""
+def _factor(goal: float, most: float, first: int, rate: np.ndarray, mass: np.ndarray, words: np.ndarray) -> float:
+    """The f at which sum(min(most, rate * f) * words) over the sizes from ``first`` on is ``goal``.
+
+    Rates rise or fall with size, so the sizes at their most are the first ones or the
+    last ones; bisection finds how many. ``mass`` (of rates) and ``words`` are sums from
+    each size to the last.
+    """
+    if goal >= most * words[first]:
+        return math.inf
+    low, high = first, len(rate)
+    if rate[first] >= rate[-1]:
+        while low < high:
+            mid = (low + high) // 2
+            if rate[mid] * (goal - most * (words[first] - words[mid])) <= most * mass[mid]:
+                high = mid
+            else:
+                low = mid + 1
+        rest, over = goal - most * (words[first] - words[low]), mass[low]
+    else:
+        while low < high:
+            mid = (low + high + 1) // 2
+            if rate[mid - 1] * (goal - most * words[mid]) <= most * (mass[first] - mass[mid]):
+                low = mid
+            else:
+                high = mid - 1
+        rest, over = goal - most * words[low], mass[first] - mass[low]
+    return max(rest, 0.0) / over if over > 0 else math.inf
+
+
+def _rounded(cells: pd.DataFrame, most: float) -> pd.DataFrame:
+    """Whole copies for the sizes of one source, the largest first.
+
+    What rounding a size leaves over or takes too much goes to all smaller sizes: their
+    rates change by one factor, up to ``most``. A size is rounded to the side on which the
+    smaller ones can still meet the target; where none can, to the nearer end.
+    """
     cells = cells.sort_values("size", ascending=False, kind="stable")
     size, n, rate = (cells[c].to_numpy(dtype=float) for c in ("size", "n", "rate"))
-    fewest, most = np.floor(rate + 1e-9) * n, np.ceil(rate - 1e-9) * n
-    copies, rest = np.zeros(len(cells), dtype=np.int64), 0.0
+    mass, words = (np.r_[np.cumsum(x[::-1])[::-1], 0.0] for x in (n * rate * size, n * size))
+    copies, goal, top = np.zeros(len(cells), dtype=np.int64), mass[0], math.ceil(most)
     for i in range(len(cells)):
-        wanted = n[i] * rate[i] * size[i] + rest
-        copies[i] = int(min(max(round(wanted / size[i]), fewest[i]), most[i]))
-        rest = wanted - copies[i] * size[i]
+        factor = _factor(goal, most, i, rate, mass, words)
+        wanted = n[i] * (most if math.isinf(factor) else min(most, rate[i] * factor))
+        spare = top * words[i + 1]
+        fewest, greatest = math.ceil((goal - spare) / size[i] - 1e-6), math.floor(goal / size[i] + 1e-6)
+        if fewest > greatest:  # one more is too much, one less too little for all smaller sizes
+            fewest = greatest = greatest if goal - greatest * size[i] - spare <= (greatest + 1) * size[i] - goal else greatest + 1
+        copies[i] = int(min(max(round(wanted), fewest, 0), max(greatest, 0), top * n[i]))
+        goal -= copies[i] * size[i]
     return cells.assign(copies=copies)[["source", "size", "n", "copies"]]
 
 
@@ -105,8 +144,10 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3
 
     Sizes are words, null text has none. The rates of ``tilts`` are rounded into copies,
     0 to ``most``: documents of one source and size share a rate, their copies are a
-    whole number, and the rounding rest passes from the largest size to the smallest, so
-    a source ends within about one of its short documents of its target. Within a source
+    whole number, and what rounding leaves over passes to all smaller sizes, so a source
+    ends within about one of its short documents of its target, also beside documents
+    that hold much of it. Only where all copies of the shorter ones cannot fill the place
+    of a longer one does a source end further off, by half of that one at most. Within a source
     and size, the documents that get one copy more are spaced evenly in the order of a
     hash of doc_id: runs agree. Documents without words get no copy. Rows that repeat a
     doc_id are rows of their own. A source may be null; other columns travel in ``row``.
@@ -125,7 +166,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3
     power = F.least(F.col("tilt") * F.col("size") / F.col("mean"), F.lit(math.log(most)))
     rates = cells.where("size > 0").alias("c").join(state.alias("s"), same)
     rates = rates.select("c.source", "size", "n", F.least(F.exp(power), F.lit(float(most))).alias("rate"))
-    plan = rates.groupBy("source").applyInPandas(_rounded, "source string, size long, n long, copies long")
+    plan = rates.groupBy("source").applyInPandas(lambda cells: _rounded(cells, most), "source string, size long, n long, copies long")
     plan = plan.alias("p").join(goals.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source")))
     plan = plan.select(
         F.col("p.source").alias("plan_source"), F.col("size").alias("plan_size"), "source_size", "target",

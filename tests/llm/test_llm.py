@@ -187,6 +187,16 @@ def test_mix(spark, docs):
         assert abs(sum(x["taken"] for x in mine) - mine[0]["target"]) <= 0.01 * mine[0]["target"]
 
 
+@pytest.mark.parametrize(("weights", "wanted"), [((7, 13), 1400), ((7, 33), 700), ((11, 9), 2200), ((5, 3), 2500)])
+def test_mix_beside_a_document_of_half_the_words(spark, weights, wanted):
+    texts = [(i, "w " * 10, "a") for i in range(100)] + [(1000, "w " * 1000, "a")] + [(2000 + i, "w " * 10, "b") for i in range(200)]
+    rows_ = mixing.mixed(spark.createDataFrame(texts, "doc_id long, text string, source string"), weights, carry=("doc_id", "source")).collect()
+    for source in "ab":
+        mine = [x for x in rows_ if x["row"]["source"] == source]
+        assert abs(sum(x["size"] * x["copies"] for x in mine) - mine[0]["target"]) <= 10 and all(0 <= x["copies"] <= 3 for x in mine)
+    assert {round(x["target"]) for x in rows_ if x["row"]["source"] == "a"} == {wanted}
+
+
 def test_targets_stop_and_share(spark):
     df = spark.createDataFrame([("a", 10), ("b", 100), (None, 100)], "source string, source_size long")
     got = {r["source"]: r["target"] for r in mixing.targets(df, (5, 2, 1), 3.0).collect()}
