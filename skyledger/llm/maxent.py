@@ -265,7 +265,8 @@ def scored(docs: DataFrame, rounds: int = 8) -> DataFrame:
     head.sort(key=lambda pair: (-pair[1], pair[0]))
     own = [word for word, _ in head if word != END][:OWN]
     head = dict(head)
-    head.setdefault(END, 0)
+    end = counts.where(F.length("word") == 0).first()  # END may be rarer than the words of the head
+    head[END] = end["c"] if end else 0
 
     @F.pandas_udf("int")
     def class_of(word: pd.Series) -> pd.Series:

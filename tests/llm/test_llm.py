@@ -252,6 +252,23 @@ def test_language_model(spark):
     assert sum(x["score"] for x in unseen) > sum(x["base_score"] for x in unseen)
 
 
+def test_language_model_with_a_small_head(spark, monkeypatch):
+    r = random.Random(4)
+    texts = [(i, " ".join(r.choice([f"w{k}" for k in range(40)]) for _ in range(200))) for i in range(20)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    columns = ("doc_id", "n_known", "base_score", "score")
+    full = maxent.scored(df, rounds=1).select(*columns).orderBy("doc_id").collect()
+    monkeypatch.setattr(maxent, "HEAD", 3)
+    small = maxent.scored(df, rounds=1).select(*columns).orderBy("doc_id").collect()
+    counts = collections.Counter(w for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1 for w in [*t.split(), ""])
+    n, v = sum(counts.values()), len(counts)
+    for got, want, (_, text) in zip(small, full, texts):
+        words = [*text.split(), ""]
+        assert got["n_known"] == want["n_known"] == sum(counts[w] > 0 for w in words)
+        base = sum(math.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words)
+        assert got["base_score"] == pytest.approx(base) and want["base_score"] == pytest.approx(base)
+
+
 def test_pages(spark):
     same = "<div>Home About Us Contact Products Services Blog Careers Help Press</div>"
     html = [None, "", "<p", "a<b>c</b> &lt; 5 &nbsp; x <!-- c"]
