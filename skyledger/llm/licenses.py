@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm.license_texts import TEXTS
+
 #: Notices as their licenses ask for them; a template is any text, by any name.
 TEMPLATES: dict[str, str] = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -42,7 +44,36 @@ TEMPLATES: dict[str, str] = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the"
         " above copyright notice and this permission notice appear in all copies."
     ),
-}
+    "MIT notice": "Licensed under the MIT License.",
+    "Apache-2.0 notice": "Released under the Apache License 2.0.",
+    "GPL-2.0 notice": "Licensed under the GNU General Public License, version 2.",
+    "GPL-3.0 notice": "Licensed under the GNU GPL v3.",
+    "LGPL-2.1 notice": "Licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0 notice": "Licensed under the GNU Lesser General Public License, version 3.",
+    "BSD-2-Clause notice": "Licensed under the BSD 2-Clause License.",
+    "BSD-3-Clause notice": "Licensed under the BSD 3-Clause License.",
+    "MPL-2.0 notice": "Licensed under the Mozilla Public License, version 2.0.",
+    "CC0-1.0 notice": "Licensed under CC0 1.0 Universal.",
+    "Unlicense notice": "Released into the public domain under the Unlicense.",
+    **{
+        f"CC-{short}-4.0 {kind}": f"{start} {short if 'CC' in start else long} 4.0{end}"
+        for short, long in (
+            ("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"), ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+        for kind, start, end in (
+            ("name", "Creative Commons", ""), ("code", "CC", ""), ("notice", "Licensed under CC", ""),
+            ("sentence", "This work is licensed under a Creative Commons", " International License."),
+        )
+        if (short, kind) not in (("BY-NC", "notice"), ("BY", "sentence"), ("BY-SA", "sentence"))
+    },
+    **TEXTS,
+}
+#: A template of fewer words is a short notice: one word may be missing or changed, but none that is not listed here.
+SHORT = 20
+#: After a failed alignment a whole text is tried again half of its spare words further on, so that texts alike cost linear time.
+LONG = 500
+COMMON = frozenset(b"a and code distributed in international into is licence licensed license of released software terms the this under universal version work".split())
 #: Bytes that belong to words: A-Z as a-z, digits, and all of non-ASCII letters.
 _WORD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -102,20 +133,31 @@ def align(text: Sequence[bytes], template: Sequence[bytes]) -> list[tuple[int, i
 
 
 class Scanner:
-    """Finds notices of which at least ``coverage`` of the words stand in a text, in order and close together."""
+    """Finds notices of which at least ``coverage`` of the words stand in a text, in order and close together.
+
+    In a short notice one word may be missing or changed in any case, if its distinctive
+    words, all but the ``COMMON`` ones, are there.
+    """
 
     def __init__(self, templates: Mapping[str, str], coverage: float = 0.9) -> None:
         if len(templates) > 63:
             raise ValueError("a scanner holds 63 templates; use several for more")
         self.names = list(templates)
         self.words = [license_words(t) for t in templates.values()]
-        self.least = [int(np.ceil(coverage * len(w) - 1e-9)) for w in self.words]
+        short = [len(w) < SHORT for w in self.words]
+        self.needed = [set(w) - COMMON if s else set() for w, s in zip(self.words, short)]
+        self.least = [min(int(np.ceil(coverage * len(w) - 1e-9)), max(len(w) - s, 1)) for w, s in zip(self.words, short)]
+        self.counts = [Counter(w) for w in self.words]
         self.reach = [len(w) + len(w) // 2 + 2 for w in self.words]
         self.of_word: dict[bytes, int] = {}
         for i, words in enumerate(self.words):
             for w in words:
                 self.of_word[w] = self.of_word.get(w, 0) | 1 << i
 
+    def _shared(self, k: int, have: Counter[bytes]) -> int:
+        """How many words of a template an alignment can match at most."""
+        return sum(min(n, have[w]) for w, n in self.counts[k].items() if w in have)
+
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(template, coverage, first word, last word) of each notice; of two that overlap the one with more words.
 
@@ -126,9 +168,9 @@ class Scanner:
         get = self.of_word.get
         masks = np.fromiter((get(w, 0) for w in words), dtype=np.int64, count=len(words))
         found: list[tuple[int, str, float, int, int]] = []
-        present = int(np.bitwise_or.reduce(masks)) if len(masks) else 0
+        have = Counter(words)
         for k, template in enumerate(self.words):
-            if not present >> k & 1:
+            if len(words) < self.least[k] or not self.needed[k] <= have.keys() or self._shared(k, have) < self.least[k]:
                 continue
             sums = np.r_[0, np.cumsum(masks >> k & 1)]
             stop = np.minimum(np.arange(len(words)) + self.reach[k], len(words))
@@ -137,11 +179,21 @@ class Scanner:
             for start in starts.tolist():
                 if start < at:
                     continue
-                pairs = align(words[start : start + self.reach[k]], template)
-                if len(pairs) >= self.least[k]:
+                stretch = words[start : start + self.reach[k]]
+                lacking = self.least[k] - self._shared(k, Counter(stretch))
+                if lacking > 0:  # each later word brings one more at most
+                    at = start + lacking
+                    continue
+                pairs = align(stretch, template)
+                if len(pairs) < self.least[k] and len(stretch) > len(template):
+                    # a second copy behind the first hides words that are unique in one
+                    pairs = align(stretch[: len(template)], template)
+                if len(pairs) >= self.least[k] and self.needed[k] <= {template[j] for _, j in pairs}:
                     first, last = start + pairs[0][0], start + pairs[-1][0]
                     found.append((len(pairs), self.names[k], len(pairs) / len(template), first, last))
                     at = last + 1
+                elif len(template) >= LONG:
+                    at = start + max(1, (len(template) - self.least[k]) // 2)
         kept: list[tuple[int, str, float, int, int]] = []
         for match in sorted(found, key=lambda m: (-m[0], m[3], m[1])):
             if all(match[3] > other[4] or match[4] < other[3] for other in kept):

@@ -324,6 +324,19 @@ def test_licenses(docs):
     assert licenses.align("x a b c y".split(), "a q b c".split()) == [(1, 0), (2, 2), (3, 3)]
 
 
+def test_reworded_and_whole_licenses():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    found = lambda text: [m[0] for m in scanner.scan(f"some words before {text} and after")]
+    assert found("Distributed under the MIT License") in (["MIT"], ["MIT notice"])
+    assert found("Creative Commons Attribution-NonCommercial 4.0") == ["CC-BY-NC-4.0 name"]
+    assert found("Licensed under CC BY-NC-SA 4.0") == ["CC-BY-NC-SA-4.0 notice"]
+    assert found("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License") == ["CC-BY-NC-4.0 sentence"]
+    assert found("licensed under the Mozilla Public License v. 2.0") == ["MPL-2.0 notice"]
+    assert found("licensed under the Apache License, Version 1.1") == [] and found("released under the new License") == []
+    words = licenses.TEMPLATES["GPL-3.0 text"].split()
+    assert found(" ".join(w for i, w in enumerate(words) if i % 20)) == ["GPL-3.0 text"]
+
+
 def test_pipeline(spark, docs, tmp_path):
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
