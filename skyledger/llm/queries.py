@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import bpe, exact_dedup, html_text, jaccard, licenses, maxent, mixing, quality, sharding, url_filter
+from skyledger.llm import bpe, exact_dedup, html_text, jaccard, licenses, maxent, mixing, quality, ranked_search, sharding, toxicity, url_filter, whitening
 from skyledger.llm.common import ship
 
 #: The tokenizer of op5 and of the pipeline.
@@ -202,3 +202,63 @@ def op9(documents: DataFrame) -> DataFrame:
 def op10(documents: DataFrame) -> DataFrame:
     """Every document with the one of its copies that stays."""
     return exact_dedup.exact_duplicates(documents)
+
+
+def op11(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """How likely every whole text is marked toxic."""
+    rows = toxicity.scored(documents.select("doc_id", "text"), labels.select("doc_id", "toxic"))
+    return rows.select("doc_id", "held_out", "score", "predicted", "n_hits", "n_misspelled", "n_quoted")
+
+
+def _op11(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return op11(*(spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet") for table in ("documents", "labels")))
+
+
+QUERIES["op11_toxicity"] = _op11
+
+
+@query("op12_whitening", "embeddings")
+def op12(embeddings: DataFrame) -> DataFrame:
+    """Whitened components of every whole vector."""
+    rows = whitening.whitened(embeddings.select("vec_id", "embedding"))
+    return rows.select("row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op13(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The 20 best documents for each benchmark item."""
+    return ranked_search.ranked(documents, benchmark, 20)
+
+
+def _op13(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return op13(*(spark.read.parquet(f"{folder.rstrip('/')}/{table}.parquet") for table in ("documents", "benchmark")))
+
+
+QUERIES["op13_ranked_search"] = _op13
+ORACLES["op13_ranked_search"] = """
+    WITH d AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+    ), s AS (
+      SELECT CAST(count(*) FILTER (len(t) > 0) AS BIGINT) AS big_n, CAST(sum(len(t)) AS BIGINT) AS big_l FROM d
+    ), i AS (
+      SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+    ), q AS (
+      SELECT item_id, term, count(*) AS c FROM i GROUP BY ALL
+    ), p AS (
+      SELECT doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d
+    ), f AS (
+      SELECT doc_id, n, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM q) GROUP BY ALL
+    ), w AS (
+      SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM f GROUP BY term) CROSS JOIN s
+    ), r AS (
+      SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN f USING (term) CROSS JOIN s GROUP BY item_id, doc_id
+    ), o AS (
+      SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0
+    )
+    SELECT * FROM o WHERE rank <= 20
+    """
