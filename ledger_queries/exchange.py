@@ -13,7 +13,7 @@ from skyledger.plans.shape import Inputs
 from skyledger.plans.tables import launch
 from skyledger.session import scratch
 from skyledger.sinks.csv_files import dump_query, export_sorted_csv, read_csv_export, write_csv
-from skyledger.sinks.snapshots import publish, read_snapshot, register_views, write_table
+from skyledger.sinks.snapshots import new_run, publish, read_snapshot, register_views, write_table
 from skyledger.sinks.sql_script import insert_batches, row_statements
 from skyledger.sources.registry import OBJECT_CATALOGS, SourceSpec, registry_frame
 from skyledger.sources.text_files import first_lines, header_columns, newest_files, read_log, read_source, read_sources
@@ -214,8 +214,9 @@ def snapshot_roundtrip(t: Tables) -> DataFrame:
     root = scratch(t.spark, "snapshot")
     for version in ("v9", "v10"):
         df = t.orders.select(F.lit(version).alias("version"), "*")
-        write_table(df, root, version, "orders", ["o_orderkey"])
-        publish(t.spark, root, version, ["orders"])
+        run = new_run()
+        write_table(df, root, run, "orders", ["o_orderkey"])
+        publish(t.spark, root, version, run, ["orders"])
     register_views(read_snapshot(t.spark, root), "public_")
     return t.spark.sql("SELECT * FROM public_orders")
 

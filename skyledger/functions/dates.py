@@ -155,6 +155,24 @@ def with_vague_dates(df: DataFrame, columns: Mapping[str, tuple[str, str]], stri
     return staged.selectExpr(*out)
 
 
+def with_date_parts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Add the hidden kind and start of each text column, for the three functions below."""
+    return _staged(df, columns).selectExpr("*", *[f"{_start_of(c)} AS `__start_{c}`" for c in columns])
+
+
+def start_sql(c: str) -> str:
+    return f"`__start_{c}`"
+
+
+def precision_sql(c: str) -> str:
+    return f"CASE WHEN `__start_{c}` IS NOT NULL THEN {_precision_of(c)} END"
+
+
+def unread_date_sql(c: str) -> str:
+    """Why a cell gives no date; null where it gives one or holds none."""
+    return f"CASE WHEN `__kind_{c}` IS NOT NULL AND `__start_{c}` IS NULL THEN CASE WHEN `__kind_{c}` = 0 THEN 'not a date' ELSE 'no such day' END END"
+
+
 def bad_dates(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Rows (keys, column, value) for every unreadable date, in one pass."""
     def cell(c: str) -> Column:

@@ -69,6 +69,15 @@ def decorated_double_sql(name: str, strict: bool = True) -> str:
     return double_sql(s, fail_sql(s, "number or infinity") if strict else "NULL")
 
 
+def unread_number_sql(name: str, value: str) -> str:
+    """Why a cell has no number, from its text and the value parsed before: no pattern is tried again."""
+    return f"CASE WHEN {value} IS NULL AND NOT {_has_no_number(f'`{name}`')} THEN 'not a number' END"
+
+
+def unread_double_sql(name: str, value: str) -> str:
+    return f"CASE WHEN {value} IS NULL AND NOT {_has_no_double(f'`{name}`')} THEN 'not a number or infinity' END"
+
+
 def decorated_number(name: str, strict: bool = True) -> Column:
     """Double for a decorated number; bad text raises, or is null if not strict."""
     return F.expr(decorated_number_sql(name, strict))

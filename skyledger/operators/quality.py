@@ -199,5 +199,9 @@ def require_none(report: DataFrame) -> None:
     """Raise with the first rows of a report, if it has any."""
     rows = report.take(20)
     if rows:
-        lines = [f"{r['check']} {r['table_name']} [{r['rule']}]: {r['value']} ({r['row_count']} rows)" for r in rows]
+        lines = [
+            f"{r['check']} {r['table_name']} [{r['rule']}]: {r['value']} ({r['row_count']} rows)"
+            + (f" first at {r['file']}:{r['line']}" if "line" in r and r["line"] is not None else "")
+            for r in rows
+        ]
         raise CheckFailed("\n".join(lines))

@@ -8,13 +8,33 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.functions.dates import bad_dates, with_vague_dates
+from skyledger.functions.dates import bad_dates, precision_sql, start_sql, unread_date_sql, with_date_parts, with_vague_dates
 from skyledger.functions.lists import list_items
-from skyledger.functions.numbers import decorated_double_sql, decorated_number_sql, is_bad_double, is_bad_number
+from skyledger.functions.numbers import (
+    decorated_double_sql,
+    decorated_number_sql,
+    is_bad_double,
+    is_bad_number,
+    unread_double_sql,
+    unread_number_sql,
+)
 from skyledger.functions.text import NULL_MARK, clean, clean_sql
 from skyledger.operators.corrections import Fix, correct
 
 
+#: Hidden columns that rows of a refresh carry until they are published: where a row was
+#: read (a number unique in its layout), and its cells that could not be read.
+AT, BAD = "__at", "__bad"
+
+
+def visible(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in (AT, BAD)]
+
+
+def hidden(df: DataFrame) -> list[str]:
+    return [c for c in (AT, BAD) if c in df.columns]
+
+
 @dataclass(frozen=True)
 class Inputs:
     """Staging tables by layout, tables already built, and the parsing mode."""
@@ -54,7 +74,7 @@ def column_name(prefix: str, source: str, rename: dict[str, str]) -> str:
 
 def cleaned(staged: DataFrame, prefix: str, columns: Iterable[str], rename: dict[str, str] | None = None) -> DataFrame:
     rename = rename or {}
-    return staged.selectExpr(*[f"{clean_sql(c)} AS `{column_name(prefix, c, rename)}`" for c in columns])
+    return staged.selectExpr(*[f"{clean_sql(c)} AS `{column_name(prefix, c, rename)}`" for c in columns], *hidden(staged))
 
 
 def typed(
@@ -64,13 +84,51 @@ def typed(
     dates: Iterable[str] = (),
     strict: bool = True,
 ) -> DataFrame:
-    """Parse columns in place; each date gains a ``_precision`` column after it."""
+    """Parse columns in place; each date gains a ``_precision`` column after it.
+
+    Strict parsing raises an error that names the first cell it cannot read. Otherwise
+    such a cell is null, and the hidden column BAD lists (column, value, reason) of all
+    of a row's; the reason comes from the parse that gave the value.
+    """
+    if not strict:
+        return _lenient(df, list(numbers), list(doubles), list(dates))
     values = {c: decorated_number_sql(c, strict) for c in numbers} | {c: decorated_double_sql(c, strict) for c in doubles}
     if values:
         df = df.selectExpr(*[f"{values.get(c, f'`{c}`')} AS `{c}`" for c in df.columns])
     return with_vague_dates(df, {c: (c, f"{c}_precision") for c in dates}, strict)
 
 
+def bad_cell(column: str, reason: str) -> str:
+    """SQL of one entry of BAD; null without a reason."""
+    return f"CASE WHEN ({reason}) IS NOT NULL THEN named_struct('column', '{column}', 'value', `{column}`, 'reason', {reason}) END"
+
+
+def with_bad_cells(df: DataFrame, cells: list[str]) -> str:
+    """SQL of BAD: what it holds already, and more cells."""
+    more = f"array_compact(array({', '.join(cells)}))"
+    return f"concat(`{BAD}`, {more})" if BAD in df.columns else more
+
+
+def _lenient(df: DataFrame, numbers: list[str], doubles: list[str], dates: list[str]) -> DataFrame:
+    parsed = {c: decorated_number_sql(c, False) for c in numbers} | {c: decorated_double_sql(c, False) for c in doubles}
+    if not parsed and not dates:
+        return df
+    rows = df.selectExpr("*", *[f"{sql} AS `__value_{c}`" for c, sql in parsed.items()])
+    rows = with_date_parts(rows, dates) if dates else rows
+    reasons = {c: unread_number_sql(c, f"`__value_{c}`") for c in numbers} | {c: unread_double_sql(c, f"`__value_{c}`") for c in doubles}
+    reasons |= {c: unread_date_sql(c) for c in dates}
+    out: list[str] = []
+    for c in df.columns:
+        if c in parsed:
+            out.append(f"`__value_{c}` AS `{c}`")
+        elif c in dates:
+            out += [f"{start_sql(c)} AS `{c}`", f"{precision_sql(c)} AS `{c}_precision`"]
+        elif c != BAD:
+            out.append(f"`{c}`")
+    bad = with_bad_cells(df, [bad_cell(c, reason) for c, reason in reasons.items()])
+    return rows.selectExpr(*out, f"{bad} AS `{BAD}`")
+
+
 def unreadable_cells(
     df: DataFrame,
     keys: list[str],
@@ -134,8 +192,9 @@ def bridge(
     rows = staged.filter(F.col(cell) != NULL_MARK).select(
         *[value.alias(name) for name, value in key.items()],
         F.explode(list_items(prepare(F.col(cell)), delimiters)).alias("__item"),
+        *hidden(staged),
     )
-    return rows.select(*keys, tidy(F.trim("__item")).alias(item))
+    return rows.select(*keys, tidy(F.trim("__item")).alias(item), *hidden(staged))
 
 
 def token_map(values: dict[str, str | None], then: Callable[[Column], Column] = lambda c: c) -> Callable[[Column], Column]:

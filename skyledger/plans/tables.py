@@ -20,7 +20,22 @@ from skyledger.functions.text import (
 )
 from skyledger.operators.corrections import Case, Fix, Regex, Replace, Strip, correct, exact
 from skyledger.operators.lookups import left_detail, rebalanced, route, with_membership, with_surrogate
-from skyledger.plans.shape import Inputs, Reference, TableSpec, bridge, cleaned, entity, token_map, typed
+from skyledger.plans.shape import (
+    AT,
+    BAD,
+    Inputs,
+    Reference,
+    TableSpec,
+    bad_cell,
+    bridge,
+    cleaned,
+    entity,
+    hidden,
+    token_map,
+    typed,
+    visible,
+    with_bad_cells,
+)
 
 # Organization types with their meaning, by group.
 ORGANIZATION_TYPES = {
@@ -219,7 +234,7 @@ def organization_type(spark: SparkSession) -> DataFrame:
 
 def organization(x: Inputs) -> DataFrame:
     dates, numbers = _PLACE
-    columns = [c for c in x.staged["orgs"].columns if c != "Type"]
+    columns = [c for c in visible(x.staged["orgs"]) if c != "Type"]
     rename = {"Parent": "o_parent_o_code"}
     fixes = [exact("o_parent_o_code", ORGANIZATION_PARENTS)]
     return entity(x.staged["orgs"], "o_", columns, rename, fixes, numbers=numbers, dates=dates, strict=x.strict)
@@ -235,7 +250,7 @@ def _early_start(column: str) -> Fix:
 
 def site(x: Inputs) -> DataFrame:
     dates, numbers = _PLACE
-    columns = [c for c in x.staged["sites"].columns if c not in ("Code", "Parent")]
+    columns = [c for c in visible(x.staged["sites"]) if c not in ("Code", "Parent")]
     fixes = [_early_start("site_tstart")]
     return entity(
         x.staged["sites"], "site_", columns, {"Site": "site_code"}, fixes, numbers=numbers, dates=dates, strict=x.strict
@@ -248,7 +263,7 @@ def site_org(x: Inputs) -> DataFrame:
 
 def platform(x: Inputs) -> DataFrame:
     dates, numbers = _PLACE
-    columns = [c for c in x.staged["platforms"].columns if c != "Parent"]
+    columns = [c for c in visible(x.staged["platforms"]) if c != "Parent"]
     return entity(x.staged["platforms"], "p_", columns, numbers=numbers, dates=dates, strict=x.strict)
 
 
@@ -258,7 +273,7 @@ def platform_org(x: Inputs) -> DataFrame:
 
 def launch_point(x: Inputs) -> DataFrame:
     dates, numbers = _PLACE
-    columns = [c for c in x.staged["lp"].columns if c != "Parent"]
+    columns = [c for c in visible(x.staged["lp"]) if c != "Parent"]
     fixes = [_early_start("lp_tstart"), Fix("lp_tstop", steps=(Replace("DZK3  -"),))]
     return entity(
         x.staged["lp"], "lp_", columns, {"Site": "lp_site_code"}, fixes, numbers=numbers, dates=dates, strict=x.strict
@@ -272,12 +287,14 @@ def launch_point_org(x: Inputs) -> DataFrame:
 
 def launch_vehicle_family(x: Inputs) -> DataFrame:
     extra = x.spark.createDataFrame([(name,) for name in EXTRA_FAMILIES], "lvf_family string")
-    listed = x.staged["family"].filter(F.col("Family") != NULL_MARK).select(clean(F.col("Family")).alias("lvf_family"))
-    return listed.unionByName(extra).distinct()
+    rows = x.staged["family"].filter(F.col("Family") != NULL_MARK)
+    listed = rows.select(clean(F.col("Family")).alias("lvf_family"), *hidden(rows)).unionByName(extra, allowMissingColumns=True)
+    first = [F.min(c).alias(c) for c in hidden(rows)]
+    return listed.groupBy("lvf_family").agg(*first) if first else listed.distinct()
 
 
 def launch_vehicle(x: Inputs) -> DataFrame:
-    columns = [c for c in x.staged["lv"].columns if c != "LV_Manufacturer"]
+    columns = [c for c in visible(x.staged["lv"]) if c != "LV_Manufacturer"]
     numbers = (
         "LV_Min_Stage", "LV_Max_Stage", "Length", "Diameter", "Launch_Mass",
         "LEO_Capacity", "GTO_Capacity", "TO_Thrust", "Apogee", "Range",
@@ -291,7 +308,7 @@ def launch_vehicle_org(x: Inputs) -> DataFrame:
 
 
 def reference(x: Inputs) -> DataFrame:
-    return entity(x.staged["refs"], "r_", x.staged["refs"].columns, strict=x.strict)
+    return entity(x.staged["refs"], "r_", visible(x.staged["refs"]), strict=x.strict)
 
 
 def _orbital(code: Column, strict: bool) -> Column:
@@ -316,7 +333,7 @@ def launch(x: Inputs) -> DataFrame:
         "LTCite": "l_primary_r_cite",
         "Cite": "l_additional_r_cite",
     }
-    df = correct(cleaned(x.staged["launch"], "l_", x.staged["launch"].columns, rename), LAUNCH_FIXES)
+    df = correct(cleaned(x.staged["launch"], "l_", visible(x.staged["launch"]), rename), LAUNCH_FIXES)
     code = F.col("l_launch_code")
     parts = launch_code_parts(code)
     group = F.col("l_group")
@@ -336,8 +353,12 @@ def launch(x: Inputs) -> DataFrame:
         "l_mission", "l_flightcode", "l_p_code", SITE, PAD, ASCENT_SITE, ASCENT_PAD, "l_apogee", "l_apoflag",
         "l_range", "l_rangeflag", "l_dest", "l_orbpay", "l_launch_category", "l_launch_status",
         "l_launch_success_fraction", "l_fail_code", "l_launch_service_type", "l_category", "l_primary_r_cite",
-        "l_additional_r_cite", "l_notes",
+        "l_additional_r_cite", "l_notes", *hidden(df), *([] if x.strict else ["__orbital", "l_launch_code"]),
     )
+    if not x.strict:
+        unknown = "CASE WHEN `l_launch_code` <> '-S' AND `__orbital` IS NULL THEN 'not a launch code' END"
+        bad = with_bad_cells(df, [bad_cell("l_launch_code", unknown)])
+        df = df.withColumn(BAD, F.expr(bad)).drop("__orbital", "l_launch_code")
     numbers = ("l_launch_jd", "l_apogee", "l_range", "l_launch_success_fraction")
     return typed(df, numbers, dates=("l_launch_date",), strict=x.strict)
 
@@ -392,7 +413,7 @@ def world(x: Inputs) -> DataFrame:
     repeated = F.lit(False)
     for name, mass in REPEATED_WORLDS:
         repeated = repeated | ((F.col("IDName") == name) & (F.col("Mass") == mass))
-    worlds = cleaned(x.staged["worlds"].filter(~repeated), "w_", x.staged["worlds"].columns, rename)
+    worlds = cleaned(x.staged["worlds"].filter(~repeated), "w_", visible(x.staged["worlds"]), rename)
     worlds = worlds.withColumn("w_primary_w_name", F.coalesce("w_primary_w_name", F.lit("Sun")))
     worlds = correct(
         worlds,
@@ -423,7 +444,7 @@ def world(x: Inputs) -> DataFrame:
         "InitFunc": "w_spin_init_function",
         "JFile": "w_spin_jfile",
     }
-    spin = cleaned(x.staged["spin"], "w_spin_", spin_names, spin_names)
+    spin = cleaned(x.staged["spin"].drop(AT), "w_spin_", spin_names, spin_names)
     joined = left_detail(worlds, spin, "w_idname", "spin_idname")
     texts = ("w_spin_pole_function", "w_spin_spin_function", "w_spin_init_function", "w_spin_jfile")
     numbers = [
@@ -431,9 +452,9 @@ def world(x: Inputs) -> DataFrame:
         "w_peri", "w_m", "w_rotperiod", "w_orbperiod",
         *[c for c in spin_names.values() if c.startswith("w_spin_") and c not in texts],
     ]
-    head = [c for c in joined.columns if not c.startswith("w_spin_") and c != "w_primary_w_name"]
+    head = [c for c in visible(joined) if not c.startswith("w_spin_") and c != "w_primary_w_name"]
     spins = [c for c in joined.columns if c.startswith("w_spin_")]
-    return typed(joined.select(*head, "w_primary_w_name", *spins), numbers, dates=("w_epoch",), strict=x.strict)
+    return typed(joined.select(*head, "w_primary_w_name", *spins, *hidden(joined)), numbers, dates=("w_epoch",), strict=x.strict)
 
 
 def satellite(x: Inputs) -> DataFrame:
@@ -444,11 +465,12 @@ def satellite(x: Inputs) -> DataFrame:
         "Primary": "s_primary_w_name",
         "State": "s_state_o_code",
     }
-    columns = [c for c in staged.columns if c not in ("s_catalog", "Type", "Owner", "Manufacturer")]
+    columns = [c for c in visible(staged) if c not in ("s_catalog", "Type", "Owner", "Manufacturer")]
     named = staged.selectExpr(
         "s_catalog",
         "Type",
         *[f"{clean_sql(c)} AS `{rename.get(c, f's_{c.lower()}')}`" for c in columns],
+        *hidden(staged),
     )
     named = named.select(*[c for c in named.columns if c != "Type"], *code_positions(F.col("Type"), bytes_))
     parent = remove(F.regexp_extract("s_parent", "[^ ]+", 0), "*")
@@ -470,7 +492,7 @@ def satellite(x: Inputs) -> DataFrame:
         order += ["s_parent_s_jcat_or_w_name", "s_parent_port", "s_parent_flag"] if name == "s_parent" else [name]
         order += bytes_ if name == "s_piece" else []
     return typed(
-        df.select(*order, "s_unicode_name"),
+        df.select(*order, "s_unicode_name", *hidden(df)),
         numbers=("s_mass", "s_drymass", "s_totmass", "s_length", "s_diameter", "s_span", "s_perigee", "s_inc"),
         doubles=("s_apogee",),
         dates=("s_ldate", "s_sdate", "s_ddate", "s_odate"),
@@ -495,7 +517,7 @@ def satellite_manufacturer_org(x: Inputs) -> DataFrame:
 
 
 def payload(x: Inputs) -> DataFrame:
-    columns = [c for c in x.staged["payload"].columns if c not in ("pay_catalog", "Category", "Discipline")]
+    columns = [c for c in visible(x.staged["payload"]) if c not in ("pay_catalog", "Category", "Discipline")]
     df = correct(cleaned(x.staged["payload"], "pay_", ["pay_catalog", *columns]), PAYLOAD_FIXES)
     state = F.col("pay_unstate")
     registered = F.when(state.isNotNull(), yes_no(state.like("%[%]%")))
@@ -513,7 +535,7 @@ def payload_category(x: Inputs) -> DataFrame:
     items = bridge(x.staged["payload"], {"pc_pay_jcat": "JCAT"}, "Category", "item", prepare=strip_end)
     secret = yes_no(F.col("item").contains("*"))
     name = strip_end(strip_end(F.col("item"), "?"), "*")
-    return items.select("pc_pay_jcat", name.alias("pc_category"), secret.alias("pc_is_secret"))
+    return items.select("pc_pay_jcat", name.alias("pc_category"), secret.alias("pc_is_secret"), *hidden(items))
 
 
 def payload_discipline(x: Inputs) -> DataFrame:
@@ -529,8 +551,8 @@ def payload_discipline(x: Inputs) -> DataFrame:
 
 def engine(x: Inputs) -> DataFrame:
     staged = x.staged["engines"]
-    columns = [c for c in staged.columns if c not in ("line_number", "Manufacturer", "Oxidizer", "Fuel")]
-    df = staged.selectExpr("line_number", *[f"{clean_sql(c)} AS `e_{c.lower()}`" for c in columns])
+    columns = [c for c in visible(staged) if c not in ("line_number", "Manufacturer", "Oxidizer", "Fuel")]
+    df = staged.selectExpr("line_number", *[f"{clean_sql(c)} AS `e_{c.lower()}`" for c in columns], *hidden(staged))
     numbers = ("e_mass", "e_impulse", "e_thrust", "e_isp", "e_duration", "e_chambers")
     return typed(df.withColumnRenamed("line_number", "e_id"), numbers, dates=("e_date",), strict=x.strict)
 
@@ -544,11 +566,13 @@ def engine_propellant(x: Inputs) -> DataFrame:
         return F.transform(F.coalesce(items, F.array().cast("array<string>")), lambda item: F.struct(item.alias("item"), F.lit(tag).alias("tag")))
 
     both = F.concat(tagged("Oxidizer", "oxidizer"), tagged("Fuel", "fuel"))
-    rows = x.staged["engines"].select(F.col("line_number").alias("ep_e_id"), F.inline(both))
+    staged = x.staged["engines"]
+    rows = staged.select(F.col("line_number").alias("ep_e_id"), F.inline(both), *hidden(staged))
     return rows.select(
         "ep_e_id",
         token_map(PROPELLANTS)(F.trim("item")).alias("ep_propellant"),
         F.col("tag").alias("ep_fuel_or_oxidizer"),
+        *hidden(rows),
     )
 
 
@@ -563,7 +587,7 @@ def _real_stages(x: Inputs) -> DataFrame:
 
 def stage(x: Inputs) -> DataFrame:
     rename = {"Stage_Family": "stage_lvf_family"}
-    columns = [c for c in x.staged["stages"].columns if c != "Stage_Manufacturer"]
+    columns = [c for c in visible(x.staged["stages"]) if c != "Stage_Manufacturer"]
     df = cleaned(_real_stages(x), "stage_", columns, rename)
     df = with_surrogate(df, x.built["engine"], "stage_engine", "e_name", "e_id", "stage_e_id")
     order = [c if c != "stage_engine" else "stage_e_id" for c in df.columns if c != "stage_e_id"]
@@ -585,7 +609,7 @@ def stage_manufacturer(x: Inputs) -> DataFrame:
 
 def launch_vehicle_stage(x: Inputs) -> DataFrame:
     staged = x.staged["lvs"]
-    df = cleaned(staged, "lvs_", staged.columns)
+    df = cleaned(staged, "lvs_", visible(staged))
     df = with_membership(df, x.built["stage"], "lvs_stage_name", "stage_name", "is_stage")
     routed = route(F.col("lvs_stage_name"), F.col("is_stage"), "lvs_stage_name", "lvs_stage_type")
     names = [c for c in df.columns if c != "is_stage"]

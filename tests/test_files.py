@@ -138,11 +138,11 @@ def test_batches(spark, tmp_path):
 def test_snapshots(spark, tmp_path):
     root = str(tmp_path / "snap")
     df = spark.range(10).withColumn("k", F.col("id") % 2)
-    snapshots.write_table(df, root, "2020", "t", ["k"])
-    snapshots.publish(spark, root, "2020", ["t"])
-    snapshots.write_table(df.limit(3), root, "2021", "t")
+    snapshots.write_table(df, root, "a", "t", ["k"])
+    snapshots.publish(spark, root, "2020", "a", ["t"])
+    snapshots.write_table(df.limit(3), root, "b", "t")
     assert snapshots.read_snapshot(spark, root)["t"].count() == 10, "an unpublished version stays unseen"
-    snapshots.publish(spark, root, "2021", ["t"])
+    snapshots.publish(spark, root, "2021", "b", ["t"])
     assert snapshots.current_version(spark, root) == ("2021", ["t"])
     tables = snapshots.read_snapshot(spark, root)
     snapshots.register_views(tables, "public_")
