@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ledger_queries.registry import Tables
-from skyledger.sources.registry import LAYOUTS
+from skyledger.sources.registry import LAYOUTS, OBJECT_CATALOGS, PAYLOAD_CATALOGS
 
 
 def day(c: str) -> str:
@@ -36,6 +36,16 @@ def layout(df: DataFrame, name: str, first: dict[str, str] | None = None, **cell
 KEY_DAY = "CAST(DATE'1990-01-01' + make_interval(0, 0, 0, CAST({key} % 9999 AS INT)) AS TIMESTAMP_NTZ)"
 
 
+def catalog(first: str, main: str, rest: str, catalogs: list[str]) -> str:
+    """SQL, for both sides, of the catalog a row stands in: the main one, or one of the others by a number."""
+    others = " ".join(f"WHEN {i} THEN '{name}'" for i, name in enumerate(catalogs) if name != main)
+    return f"CASE WHEN {first} THEN '{main}' ELSE CASE CAST({rest} % {len(catalogs)} AS INTEGER) {others} ELSE '{main}' END END"
+
+
+OBJECT_CATALOG = catalog("l_returnflag = 'A'", "satcat", "l_partkey", list(OBJECT_CATALOGS))
+PAYLOAD_CATALOG = catalog("event_type = 'view'", "psatcat", "event_id", list(PAYLOAD_CATALOGS))
+
+
 def orgs(t: Tables) -> DataFrame:
     start = KEY_DAY.format(key="c_custkey")
     return layout(
@@ -191,7 +201,7 @@ def objects(t: Tables) -> DataFrame:
     return layout(
         t.lineitem,
         "object",
-        {"s_catalog": "CASE l_returnflag WHEN 'A' THEN 'satcat' WHEN 'N' THEN 'auxcat' ELSE 'deepcat' END"},
+        {"s_catalog": OBJECT_CATALOG},
         JCAT="concat('J', l_orderkey, '-', l_linenumber)",
         Satcat="concat(' ', l_partkey, ' ')",
         Launch_Tag="""CASE WHEN l_linenumber = 7 THEN '-          UNK' WHEN l_linestatus = 'O' THEN concat('T', l_orderkey, '  199')
@@ -230,7 +240,7 @@ def payloads(t: Tables) -> DataFrame:
     return layout(
         t.events,
         "payload",
-        {"pay_catalog": "CASE event_type WHEN 'error' THEN 'plcat' ELSE 'psatcat' END"},
+        {"pay_catalog": PAYLOAD_CATALOG},
         JCAT="concat('E', event_id)",
         Piece="concat(' ', user_id)",
         Name="event_type",

@@ -169,17 +169,17 @@ def not_null(t: Tables) -> DataFrame:
 
 @query(
     "q_row_floor",
-    """
+    f"""
     SELECT 'row floor' AS "check", source AS table_name, 'count' AS rule, 'at least ' || floor || ' expected, ' || n || ' found' AS value, n AS row_count
     FROM (SELECT 'orgs' AS source, 10 AS floor, (SELECT count(*) FROM customer) AS n
       UNION ALL SELECT 'launch', 1000000000, (SELECT count(*) FROM orders)
-      UNION ALL SELECT 'satcat', 1000000000, (SELECT count(*) FROM lineitem WHERE l_returnflag = 'A')
-      UNION ALL SELECT 'deepcat', 1, (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R')
-      UNION ALL SELECT 'ecat', 1, 0) WHERE n < floor""",
+      UNION ALL SELECT 'satcat', 1000000000, (SELECT count(*) FROM lineitem WHERE {cells.OBJECT_CATALOG} = 'satcat')
+      UNION ALL SELECT 'deepcat', 1, (SELECT count(*) FROM lineitem WHERE {cells.OBJECT_CATALOG} = 'deepcat')
+      UNION ALL SELECT 'pdeepcat', 1, 0) WHERE n < floor""",
 )
 def row_floor(t: Tables) -> DataFrame:
     """Sources with too few rows, also one that has none at all."""
-    floors = {"orgs": 10, "launch": 1_000_000_000, "satcat": 1_000_000_000, "deepcat": 1, "ecat": 1}
+    floors = {"orgs": 10, "launch": 1_000_000_000, "satcat": 1_000_000_000, "deepcat": 1, "pdeepcat": 1}
     sources = {name: SourceSpec(name, ("x",), floor) for name, floor in floors.items()}
     staged = {"orgs": cells.orgs(t), "launch": cells.launch(t), "object": cells.objects(t)}
     return check_floors(staged, sources)
@@ -264,8 +264,8 @@ def freshness(t: Tables) -> DataFrame:
 
 @query(
     "q_bad_value_origin",
-    """
-    SELECT CASE l_returnflag WHEN 'A' THEN 'satcat' WHEN 'N' THEN 'auxcat' ELSE 'deepcat' END AS s_catalog, count(*) AS n
+    f"""
+    SELECT {cells.OBJECT_CATALOG} AS s_catalog, count(*) AS n
     FROM lineitem WHERE l_linenumber = 7 GROUP BY ALL""",
 )
 def bad_value_origin(t: Tables) -> DataFrame:

@@ -15,6 +15,10 @@ def nulls(names: str, kind: str = "VARCHAR") -> str:
     return ", ".join(f"CAST(NULL AS {kind}) AS {name}" for name in names.split())
 
 
+#: Rows of the main object catalog.
+MAIN_CATALOG = f"{cells.OBJECT_CATALOG} = 'satcat'"
+
+
 def key_day(table: str, key: str) -> str:
     return f"(SELECT *, TIMESTAMP '1990-01-01' + to_days(CAST({key} % 9999 AS INTEGER)) AS d FROM {table})"
 
@@ -267,7 +271,7 @@ def world(t: Tables) -> DataFrame:
 @query(
     "table_satellite",
     f"""
-    SELECT CASE l_returnflag WHEN 'A' THEN 'satcat' WHEN 'N' THEN 'auxcat' ELSE 'deepcat' END AS s_catalog,
+    SELECT {cells.OBJECT_CATALOG} AS s_catalog,
       'J' || l_orderkey || '-' || l_linenumber AS s_jcat, CAST(l_partkey AS VARCHAR) AS s_satcat,
       CASE WHEN l_linenumber = 7 THEN NULL ELSE 'T' || l_orderkey END AS s_l_launch_tag,
       year(l_shipdate) || ' ' || l_linenumber AS s_piece, l_returnflag AS s_type_byte_1, l_linestatus AS s_type_byte_4,
@@ -297,10 +301,10 @@ def satellite(t: Tables) -> DataFrame:
 
 @query(
     "table_satellite_owner_org",
-    """
+    f"""
     SELECT 'J' || l_orderkey || '-' || l_linenumber AS soo_s_jcat,
       unnest(CASE l_linenumber WHEN 1 THEN [] WHEN 2 THEN ['NROC'] ELSE ['C' || l_suppkey, 'N' || l_linenumber] END) AS soo_o_code
-    FROM lineitem WHERE l_returnflag = 'A'""",
+    FROM lineitem WHERE {MAIN_CATALOG}""",
 )
 def satellite_owner_org(t: Tables) -> DataFrame:
     return recipes.satellite_owner_org(Inputs({"object": cells.objects(t)}))
@@ -308,9 +312,9 @@ def satellite_owner_org(t: Tables) -> DataFrame:
 
 @query(
     "table_satellite_manufacturer_org",
-    """
+    f"""
     SELECT 'J' || l_orderkey || '-' || l_linenumber AS smo_s_jcat, unnest(['C' || l_suppkey, 'M' || l_linenumber]) AS smo_o_code
-    FROM lineitem WHERE l_returnflag = 'A' AND l_linestatus = 'O'""",
+    FROM lineitem WHERE {MAIN_CATALOG} AND l_linestatus = 'O'""",
 )
 def satellite_manufacturer_org(t: Tables) -> DataFrame:
     return recipes.satellite_manufacturer_org(Inputs({"object": cells.objects(t)}))
@@ -319,7 +323,7 @@ def satellite_manufacturer_org(t: Tables) -> DataFrame:
 @query(
     "table_payload",
     f"""
-    SELECT CASE event_type WHEN 'error' THEN 'plcat' ELSE 'psatcat' END AS pay_catalog, 'E' || event_id AS pay_jcat,
+    SELECT {cells.PAYLOAD_CATALOG} AS pay_catalog, 'E' || event_id AS pay_jcat,
       CAST(user_id AS VARCHAR) AS pay_piece, event_type AS pay_name,
       CASE event_type WHEN 'error' THEN TIMESTAMP '2022-02-27' ELSE date_trunc('day', ts) END AS pay_ldate, 'Day' AS pay_ldate_precision,
       date_trunc('second', ts) AS pay_top, 'Seconds' AS pay_top_precision,

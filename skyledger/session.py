@@ -5,9 +5,15 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+#: Jobs that are submitted side by side; the cluster's slots are shared by all of them.
+JOBS = 8
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Runtime settings that only change how plans run.
@@ -23,14 +29,15 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir`` of the session or its context.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master, which is one process, may fall back to a folder of this machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
     return _local_dir()
 
@@ -40,6 +47,21 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="skyledger-")
 
 
+def side_by_side[T](spark: SparkSession, tasks: Iterable[Callable[[], T]]) -> list[T]:
+    """Results of tasks that each run jobs of their own and need nothing from each other.
+
+    Small jobs leave most of a cluster idle, and their planning takes longer than they do.
+    The first error is raised once the tasks that have begun are done; the others never begin.
+    """
+    with ThreadPoolExecutor(JOBS) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]
+        try:
+            return [future.result() for future in futures]
+        except BaseException:
+            pool.shutdown(wait=False, cancel_futures=True)
+            raise
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/skyledger/{name}-{uuid.uuid4().hex}"
