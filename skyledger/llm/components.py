@@ -2,32 +2,88 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import written
 
 
+class Forest:
+    """Nodes joined so far, by smallest node; as many links as nodes that are not a root."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        up = self.up
+        top = node
+        while (above := up.get(top, top)) != top:
+            top = above
+        while node != top:
+            up[node], node = top, up.get(node, top)
+        return top
+
+    def join(self, a: int, b: int) -> None:
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.up[max(a, b)] = min(a, b)
+
+
+def spanning(links: DataFrame) -> DataFrame:
+    """(a, b) that connect what the links of each partition connect, one link for each node of it at most.
+
+    Links of one group that meet in a partition all point to its smallest node there, which is
+    mostly the group's smallest, so that few distinct links remain of many.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forest = Forest()
+        for batch in batches:
+            pairs = np.unique(batch.to_numpy(dtype=np.int64), axis=0)
+            for a, b in pairs.tolist():
+                forest.join(a, b)
+        found = [(forest.root(node), node) for node in list(forest.up)]
+        for start in range(0, len(found), 100_000):
+            yield pd.DataFrame(found[start : start + 100_000], columns=["a", "b"])
+
+    return links.select("a", "b").mapInPandas(run, "a long, b long")
+
+
 def components(links: DataFrame, rounds: int = 100) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b: long); component is the smallest node.
 
-    Every round a node takes the smallest label among its own, its neighbours' and its
-    label's, so that labels travel along links and jump along chains of labels. Partial
-    aggregation keeps a node with very many links from meeting in one task.
+    Every round each node hooks onto the neighbour of least priority, if it has less than its
+    own, and all links are rewritten to what their ends hook onto: links within a group vanish
+    and the rest shrink, by a random part each round since priorities are hashes that
+    change with the round. No node is lost: a node and what it hooks onto were linked, so
+    their new names are. Partial aggregation keeps a node with very many links from
+    meeting in one task. At the end the hooks are followed round by round.
     """
     # written first: links may come out of another evaluation in another order or choice
-    links = written(links.select("a", "b"), "found")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = written(both, "links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), "labels")
-    for _ in range(rounds):
-        near = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "component")
-        up = labels.alias("x").join(labels.alias("y"), F.col("x.component") == F.col("y.node")).select("x.node", "y.component")
-        moved = near.unionByName(up).groupBy("node").agg(F.min("component").alias("component"))
-        moved = moved.join(labels.select("node", F.col("component").alias("old")), "node")
-        moved = written(moved.select("node", F.least("component", "old").alias("component"), (F.col("component") < F.col("old")).alias("moved")), "labels")
-        changed = moved.where("moved").limit(1).count()
-        labels = moved.select("node", "component")
-        if not changed:
-            return labels
-    raise RuntimeError(f"labels still moved after {rounds} rounds")
+    links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = written(links, "links")
+    hooks: list[DataFrame] = []
+    for turn in range(rounds):
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        priority = lambda node: F.struct(F.xxhash64(node, F.lit(turn)).alias("priority"), node.alias("node"))  # noqa: B023, E731
+        least = both.groupBy(F.col("a").alias("node")).agg(F.min(priority(F.col("b"))).alias("best"))
+        hooks.append(written(least.select("node", F.least(priority(F.col("node")), F.col("best"))["node"].alias("onto")), "hooks"))
+        a = hooks[-1].select(F.col("node").alias("a"), F.col("onto").alias("x"))
+        b = hooks[-1].select(F.col("node").alias("b"), F.col("onto").alias("y"))
+        moved = links.join(a, "a").join(b, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        links = written(moved.distinct(), "links")
+        if links.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"links still connect different groups after {rounds} rounds")
+    labels = hooks[0].withColumnRenamed("onto", "component")
+    for later in hooks[1:]:
+        onto = later.withColumnRenamed("node", "component")
+        labels = labels.join(onto, "component", "left").select("node", F.coalesce("onto", "component").alias("component"))
+    labels = written(labels, "labels")
+    smallest = labels.groupBy("component").agg(F.min("node").alias("smallest"))
+    return labels.join(smallest, "component").select("node", F.col("smallest").alias("component"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import written
-from skyledger.llm.components import components
+from skyledger.llm.components import components, spanning
 from skyledger.llm.words import in_chunks, mix, shingle_sets
 
 #: Shingles of the sets in one side of a tile pair, so that a task's memory is bounded; a larger set is a side of its own.
@@ -217,7 +217,7 @@ def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFram
     1. Each distinct set sends its name under its keys (``Jaccard.signatures``): sets
        that link share a key, sets that do not seldom do. A key's sets are cut where
        neighbouring sizes are out of reach of each other; of each run only the star
-       around its smallest set remains, as many rows as sets.
+       around its smallest set remains, and of the stars of a task a forest.
     2. Sets that runs connect form a block; no link leaves it. A block that one task can
        hold is one tile; others are cut by size band, and bands into sides of bounded
        bytes, and sides are paired where their sizes allow a link. A set travels once
@@ -233,7 +233,7 @@ def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFram
     runs = _signatures(docs, rule).repartition("key").withColumn("gap", out_of_reach.cast("int"))
     runs = runs.withColumn("run", F.sum(F.coalesce("gap", F.lit(0))).over(by_size))
     stars = runs.withColumn("lead", F.first("set").over(Window.partitionBy("key", "run").orderBy("n", "set"))).where("set != lead")
-    stars = written(stars.select(F.least("lead", "set").alias("a"), F.greatest("lead", "set").alias("b")).distinct(), "stars")
+    stars = spanning(stars.select(F.col("lead").alias("a"), F.col("set").alias("b")))
     blocks = components(stars).select(F.col("node").alias("set"), F.col("component").alias("block"))
 
     speakers = lean.groupBy("set").agg(F.min("id").alias("id"), F.max("n").alias("n")).join(blocks, "set")
