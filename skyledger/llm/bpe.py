@@ -12,11 +12,14 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.llm.words import in_chunks
+
 END = "</w>"
 #: Texts are cut at blanks into pieces of about this many characters: no word spans a blank.
 PIECE = 1 << 20
@@ -287,3 +290,31 @@ def encoded(docs: DataFrame, path: str, text: str = "text", with_ids: bool = Fal
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids)
 
     return docs.select(F.struct(*carry).alias("row"), F.col(text).alias("body")).select("row", encode("body").alias("code")).select("row", "code.*")
+
+
+def tokenized(docs: DataFrame, path: str, text: str = "text", carry: Sequence[str] = ("*",)) -> DataFrame:
+    """``encoded`` with the token ids themselves, as ``ids``.
+
+    Ids leave a task in frames of about a million characters of text, whatever the size of
+    the batches that come in, so that neither side holds the ids of a whole batch.
+    """
+    docs.sparkSession.sparkContext.addFile(path)
+    rows = docs.select(F.struct(*carry).alias("row"), F.col(text).alias("body"))
+    kind = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in rows.schema["row"].dataType)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = _bpe(path)
+        for batch in batches:
+            at = 0
+            for chunk in in_chunks(value.as_py() for value in batch.column("body")):
+                codes = list(bpe.encode_all(chunk))
+                sizes = np.array([len(ids) // 4 for ids in codes], dtype=np.int64)
+                digests = [hashlib.sha256(ids).hexdigest() for ids in codes]
+                decoded = [hashlib.sha256(bpe.decode(ids).encode()).hexdigest() for ids in codes]
+                ends = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+                ids = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(codes), dtype="<i4")))
+                head = batch.column("row").slice(at, len(chunk))
+                yield pa.record_batch([head, pa.array(sizes), ids, pa.array(digests), pa.array(decoded)], ["row", "n_tokens", "ids", "ids_sha256", "decoded_sha256"])
+                at += len(chunk)
+
+    return rows.mapInArrow(run, f"row struct<{kind}>, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")

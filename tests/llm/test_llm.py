@@ -337,11 +337,24 @@ def test_reworded_and_whole_licenses():
     assert found(" ".join(w for i, w in enumerate(words) if i % 20)) == ["GPL-3.0 text"]
 
 
+def test_tokenized_like_the_library(docs):
+    """The ids of whole texts, in frames of their own, with digests as the query has them."""
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
+    got = bpe.tokenized(docs, queries.WORD_BPE, carry=("doc_id", "text")).collect()
+    plain = {(r["row"]["doc_id"], r["ids_sha256"], r["decoded_sha256"], r["n_tokens"]) for r in bpe.encoded(docs, queries.WORD_BPE).collect()}
+    assert len(got) == len(ROWS) and {(r["row"]["doc_id"], r["ids_sha256"], r["decoded_sha256"], r["n_tokens"]) for r in got} == plain
+    for r in got:
+        assert r["ids"] == library.encode(r["row"]["text"] or "", add_special_tokens=False).ids
+
+
 def test_pipeline(spark, docs, tmp_path):
     docs.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     stay = {r["doc_id"] for r in out}
     assert stay <= {2, 11, 12, 13, None} and {2, 12} & stay, "rejected, equal and similar documents go"
+    for r in out:
+        assert len(r["ids"]) == r["n_tokens"] and hashlib.sha256(np.array(r["ids"], dtype="<u4").tobytes()).hexdigest() == r["ids_sha256"]
     table = docs.select("doc_id", "text", "lang", "source", "n_chars")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         table = stage(spark, table, "")
