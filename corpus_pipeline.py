@@ -12,7 +12,11 @@ ORACLE_SQL = None
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents that the rules reject go."""
+    """Quality rules: documents that the rules reject go.
+
+    Null, empty and very short texts are rejected. Rows that repeat are judged each; extra
+    columns travel in a struct, so that names cannot clash.
+    """
     return quality.judged(docs).where("kept").select("row.*")
 
 
@@ -35,16 +39,24 @@ def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mixing: every document as often as its source's target asks for."""
+    """Mixing: every document as often as its source's target asks for.
+
+    Null and empty texts have no words and get no copy. A null source is a source. Rows
+    that repeat an id are documents of their own.
+    """
     common.ship(spark)
     return mixing.copied(docs)
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Word BPE: how many tokens each document has, and digests of its ids and of what they decode to."""
+    """Word BPE: the token ids of every document, and digests of the ids and of what they decode to.
+
+    Null and empty texts have no ids. Rows that repeat, as copies of the mix do, are each encoded.
+    Of the columns of documents, doc_id, lang and source stay; the text is what the ids decode to.
+    """
     common.ship(spark)
-    codes = bpe.encoded(docs, queries.WORD_BPE, carry=("doc_id", "lang", "source"))
-    return codes.select("row.*", "n_tokens", "ids_sha256", "decoded_sha256")
+    codes = bpe.tokenized(docs, queries.WORD_BPE, carry=("doc_id", "lang", "source"))
+    return codes.select("row.*", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [
