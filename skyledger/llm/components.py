@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import written
 
 
+#: Nodes that a task joins before it hands its links on.
+HELD = 4_000_000
+#: So many partitions go through one task, which hands on a link once that several of them have.
+TOGETHER = 8
+
+
 class Forest:
     """Nodes joined so far, by smallest node; as many links as nodes that are not a root."""
 
@@ -34,23 +40,32 @@ class Forest:
 
 
 def spanning(links: DataFrame) -> DataFrame:
-    """(a, b) that connect what the links of each partition connect, one link for each node of it at most.
+    """(a, b) that connect what the links of each task connect, one link for each node of it at most.
 
-    Links of one group that meet in a partition all point to its smallest node there, which is
-    mostly the group's smallest, so that few distinct links remain of many.
+    Links of one group that meet in a task all point to its smallest node there, which is
+    mostly the group's smallest, so that few distinct links remain of many. Tasks take
+    TOGETHER partitions each, as long as there are enough for all cores.
     """
 
+    def handed_on(forest: Forest) -> Iterator[pd.DataFrame]:
+        found = [(forest.root(node), node) for node in list(forest.up)]
+        for start in range(0, len(found), 100_000):
+            yield pd.DataFrame(found[start : start + 100_000], columns=["a", "b"])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forest = Forest()
         for batch in batches:
             pairs = np.unique(batch.to_numpy(dtype=np.int64), axis=0)
             for a, b in pairs.tolist():
                 forest.join(a, b)
-        found = [(forest.root(node), node) for node in list(forest.up)]
-        for start in range(0, len(found), 100_000):
-            yield pd.DataFrame(found[start : start + 100_000], columns=["a", "b"])
-
-    return links.select("a", "b").mapInPandas(run, "a long, b long")
+            if len(forest.up) > HELD:
+                yield from handed_on(forest)
+                forest = Forest()
+        yield from handed_on(forest)
+
+    spark = links.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // TOGETHER)
+    return links.select("a", "b").coalesce(tasks).mapInPandas(run, "a long, b long")
 
 
 def components(links: DataFrame, rounds: int = 100) -> DataFrame:
