@@ -14,8 +14,9 @@ from skyledger.plans.tables import launch
 from skyledger.session import scratch
 from skyledger.sinks.csv_files import dump_query, export_sorted_csv, read_csv_export, write_csv
 from skyledger.sinks.snapshots import new_run, publish, read_snapshot, register_views, write_table
-from skyledger.sinks.sql_script import insert_batches, row_statements
+from skyledger.sinks.sql_script import insert_batches, row_statements, write_script
 from skyledger.sources.registry import OBJECT_CATALOGS, SourceSpec, registry_frame
+from skyledger.sources.sql_scripts import read_script
 from skyledger.sources.text_files import first_lines, header_columns, newest_files, read_log, read_source, read_sources
 
 
@@ -204,6 +205,24 @@ def batches(t: Tables) -> DataFrame:
     return insert_batches(t.orders.select("o_orderkey", "o_orderpriority"), "nations")
 
 
+@query(
+    "q_script_roundtrip",
+    """
+    SELECT doc_id, nullif(text, '') AS text, lang, source, CASE WHEN n_chars % 7 = 0 THEN 'infinity'::DOUBLE ELSE n_chars / 8 END AS size,
+      CASE WHEN n_chars % 5 > 0 THEN TIMESTAMP '2000-02-28' + INTERVAL (n_chars) SECOND END AS at FROM documents""",
+)
+def script_roundtrip(t: Tables) -> DataFrame:
+    """Whole texts with quotes, commas and line breaks, numbers and times, written as INSERT statements and read back."""
+    df = t.documents.selectExpr(
+        "doc_id", "text", "lang", "source",
+        "CASE WHEN n_chars % 7 = 0 THEN DOUBLE('Infinity') ELSE n_chars / 8D END AS size",
+        "CASE WHEN n_chars % 5 > 0 THEN TIMESTAMP_NTZ '2000-02-28' + make_dt_interval(0, 0, 0, n_chars) END AS at",
+    )
+    path = scratch(t.spark, "script")
+    write_script(df, "documents", path)
+    return read_script(t.spark, path, df.schema)
+
+
 @query(
     "q_snapshot_roundtrip",
     """
