@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -72,20 +73,32 @@ def blocks(page: str) -> list[tuple[str, str]]:
     article, and is outside of articles what it would be without the name.
 
     Start and end tags nest as far as they do: an end tag closes up to its element or is
-    ignored, a paragraph ends where a block begins, and what is open at the end of a cut
-    page is closed there. Comments, scripts, styles and the like hold no text.
+    ignored, a paragraph ends where a block begins, whatever inline elements are open in it,
+    and what is open at the end of a cut page is closed there. The time grows with the
+    length of a page, however many elements it leaves open. Comments, scripts, styles and the like hold no text.
     """
-    out: list[tuple[str, str, tuple[int, ...]]] = []
-    stack: list[tuple[str, str, tuple[int, ...]]] = []
-    cleared: list[bool] = []  # of each element with such a name, whether it holds an article, a main element or a heading
-    state, named, text, last = OPEN, (), [], 0
+    out: list[tuple[str, str, int]] = []
+    stack: list[tuple[str, str, int]] = []
+    opened: Counter[str] = Counter()  # open elements by tag
+    outer: list[int] = []  # places of the open blocks in the stack
+    # Of each element with such a name, the one around it, and whether it holds an article, a main element or a heading.
+    # What clears an element clears those around it, so the innermost one answers for all.
+    above: list[int] = []
+    cleared: list[bool] = []
+    state, named, text, last = OPEN, -1, [], 0
+
+    def close(k: int) -> None:
+        while len(stack) > k:
+            opened[stack.pop()[0]] -= 1
+        while outer and outer[-1] >= k:
+            outer.pop()
 
     def flush() -> None:
         if text:
             words = html.unescape("".join(text)).split()
             text.clear()
             if words:
-                role = NOISE if state == "heading" and not any(t in HEADINGS for t, *_ in stack) else MAIN if state == "heading" else state
+                role = NOISE if state == "heading" and not any(opened[t] for t in HEADINGS) else MAIN if state == "heading" else state
                 out.append((role, " ".join(words), named))
 
     for found in TOKEN.finditer(page):
@@ -101,33 +114,36 @@ def blocks(page: str) -> list[tuple[str, str]]:
         elif tag == "br":
             text.append(" ")
         if found["end"]:
-            if any(t == tag for t, *_ in stack):
-                while stack.pop()[0] != tag:
-                    pass
-                state, named = stack[-1][1:] if stack else (OPEN, ())
+            if opened[tag]:
+                k = len(stack) - 1
+                while stack[k][0] != tag:
+                    k -= 1
+                close(k)
+                state, named = stack[-1][1:] if stack else (OPEN, -1)
         elif tag not in VOID:
-            for k in range(len(stack) - 1, max(len(stack) - 8, -1), -1):
-                if tag in CLOSED_BY.get(stack[k][0], ()):
-                    del stack[k:]
-                    state, named = stack[-1][1:] if stack else (OPEN, ())
-                    break
-                if stack[k][0] in BLOCKS:
-                    break
+            if outer and tag in CLOSED_BY.get(stack[outer[-1]][0], ()):
+                close(outer[-1])
+                state, named = stack[-1][1:] if stack else (OPEN, -1)
             before = state
             state, by_name = _role(tag, found["attrs"], state)
             starts = state == MAIN and (before != MAIN or tag in ("article", "main"))
             if starts or (tag in HEADINGS and state != NOISE):
-                for k in named:
-                    cleared[k] = True
+                k = named
+                while k >= 0 and not cleared[k]:
+                    cleared[k], k = True, above[k]
             if starts:
-                named = ()
+                named = -1
             elif by_name and state != NOISE:
-                named = (*named, len(cleared))
+                above.append(named)
                 cleared.append(False)
+                named = len(cleared) - 1
+            if tag in BLOCKS:
+                outer.append(len(stack))
+            opened[tag] += 1
             stack.append((tag, state, named))
     text.append(page[last:])
     flush()
-    return [(role if not names else NOISE if not all(cleared[k] for k in names) else DOUBT if role == MAIN else role, words) for role, words, names in out]
+    return [(role if k < 0 else NOISE if not cleared[k] else DOUBT if role == MAIN else role, words) for role, words, k in out]
 
 
 class Hashes(dict):

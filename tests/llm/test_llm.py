@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -359,3 +360,13 @@ def test_pipeline(spark, docs, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         table = stage(spark, table, "")
         assert set(table.columns) == {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def test_blocks_take_time_with_the_length_of_a_page():
+    inline = "<i>" * 12
+    page = f"<nav><p>n{inline}</nav><p class='menu'>m{inline}<div>after</div>"
+    assert html_text.blocks(page) == [("noise", "n"), ("noise", "m"), ("open", "after")]
+    for page in ("<i>" * 150_000 + "</u>" * 150_000, "<i class='menu'>" * 40_000 + "<h1>t</h1>" * 20_000, "<div class='menu'>x<h2>y</h2>" * 20_000, "<p><i>" * 100_000):
+        start = time.perf_counter()
+        html_text.blocks(page + "z")
+        assert time.perf_counter() - start < 10
