@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledger_queries.registry import Tables, query
 from skyledger.functions.lists import explode_list
 from skyledger.functions.text import remove, strip_end, yes_no
-from skyledger.operators.corrections import Case, Fix, Regex, Replace, correct, correct_from_table, exact
+from skyledger.operators.corrections import Case, Fix, Regex, Replace, Strip, correct, correct_audited, correct_from_table, exact
 from skyledger.operators.lookups import (
     distinct_union,
     full_outer_values,
@@ -22,6 +22,7 @@ from skyledger.operators.lookups import (
 )
 from skyledger.operators.numbering import with_row_numbers
 from skyledger.plans.shape import bridge, token_map
+from skyledger.session import materialised
 
 
 def part_lists(t: Tables) -> DataFrame:
@@ -96,6 +97,46 @@ def rules_table(t: Tables) -> DataFrame:
     return correct_from_table(lines, rules, "label", "wrong", "right", "place")
 
 
+#: Rules on orders, one of which no row can reach.
+AUDITED = (
+    Fix(
+        "o_orderpriority",
+        cases=(
+            Case("now", when={"o_orderpriority": ("1-URGENT",), "o_orderstatus": ("F",)}),
+            Case("soon", when={"o_orderpriority": ("1-URGENT", "2-HIGH")}),
+            Case("late", when={"o_orderpriority": ("2-HIGH",), "o_orderstatus": ("O",)}),
+        ),
+        steps=(Replace("-", " "), Strip("MW"), Regex("^[0-9] LO$", "low"), Replace("?")),
+    ),
+    Fix("o_orderstatus", cases=(Case(None, like={"o_orderstatus": "^[PX]$"}),)),
+)
+
+
+@query(
+    "q_rule_hits",
+    """
+    WITH o AS (SELECT o_orderpriority AS p, o_orderstatus AS s FROM orders),
+    rest AS (SELECT replace(p, '-', ' ') AS a, p FROM o WHERE NOT coalesce(p IN ('1-URGENT', '2-HIGH'), false)),
+    hits AS (
+      SELECT 'o_orderpriority' AS column_name, 1 AS rule, 'case' AS kind, count(*) AS hits, false AS covered FROM o WHERE p = '1-URGENT' AND s = 'F'
+      UNION ALL SELECT 'o_orderpriority', 2, 'case', count(*), false FROM o WHERE p IN ('1-URGENT', '2-HIGH') AND NOT coalesce(p = '1-URGENT' AND s = 'F', false)
+      UNION ALL SELECT 'o_orderpriority', 3, 'case', 0, true
+      UNION ALL SELECT 'o_orderpriority', 4, 'step', count(*), false FROM rest WHERE a <> p
+      UNION ALL SELECT 'o_orderpriority', 5, 'step', count(*), false FROM rest WHERE rtrim(a, 'MW') <> a
+      UNION ALL SELECT 'o_orderpriority', 6, 'step', count(*), false FROM rest WHERE regexp_matches(rtrim(a, 'MW'), '^[0-9] LO$')
+      UNION ALL SELECT 'o_orderpriority', 7, 'step', 0, false
+      UNION ALL SELECT 'o_orderstatus', 1, 'case', count(*), false FROM o WHERE regexp_matches(s, '^[PX]$'))
+    SELECT *, (SELECT count(*) FROM o WHERE p IN ('1-URGENT', '2-HIGH')) AS renamed FROM hits""",
+)
+def rule_hits(t: Tables) -> DataFrame:
+    """How many rows each rule of a correcting pass decided, those never hit and those never reached too, beside the rows that came out renamed."""
+    out, audit = correct_audited(t.orders, AUDITED)
+    renamed = materialised(out, "corrected").agg(F.count_if(F.col("o_orderpriority").isin("now", "soon")).alias("renamed"))
+    hits = t.spark.createDataFrame(audit.hits(), "column_name string, rule int, kind string, hits long, covered boolean")
+    # one row of one number
+    return hits.select("*", F.lit(renamed.head()["renamed"]).cast("long").alias("renamed"))
+
+
 @query(
     "q_rules_pair",
     """

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.operators.corrections import Case, Fix, Regex, Replace, Strip, correct, correct_from_table, exact
+from skyledger.operators.corrections import Case, Fix, Regex, Replace, Strip, correct, correct_audited, correct_from_table, exact
 from skyledger.operators.lookups import (
     distinct_union,
     full_outer_values,
@@ -18,6 +18,7 @@ from skyledger.operators.lookups import (
     with_surrogate,
 )
 from skyledger.operators.numbering import read_numbered_lines, with_row_numbers
+from skyledger.plans import tables
 from skyledger.plans.shape import bridge, token_map, unreadable_cells
 
 
@@ -145,3 +146,32 @@ def test_parsers_run_on_a_stream(spark, tmp_path):
     assert rows(spark.sql("SELECT n, CAST(d AS STRING), d_precision FROM parsed")) == sorted(
         [(1500000.0, "2016-06-08 00:00:00", "Days"), (None, None, None)], key=repr
     )
+
+
+def test_an_audit_counts_what_each_rule_decides(spark):
+    df = spark.createDataFrame([("a", "k"), ("a?", "k"), ("b", None), (None, "k"), ("c?", "m"), ("?", "m")], "x string, y string")
+    fixes = [
+        Fix("x", cases=(Case("A", when={"x": ("a",)}, strip="?"), Case("B", when={"x": ("b",), "y": ("k",)})), steps=(Strip("?"), Replace("c", "d"))),
+        exact("y", {"k": None, "z": "never"}),
+    ]
+    out, audit = correct_audited(df, fixes)
+    plain = correct(df, fixes)
+    assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+    assert [row[:4] for row in audit.hits()] == [
+        ("x", 1, "case", 2), ("x", 2, "case", 0), ("x", 3, "step", 2), ("x", 4, "step", 1), ("y", 1, "case", 3), ("y", 2, "case", 0),
+    ]
+    empty, audit = correct_audited(df.limit(0), fixes)
+    assert empty.collect() == [] and {row[3] for row in audit.hits()} == {0}
+
+
+def test_cases_that_an_earlier_one_covers():
+    wide, narrow = Case("w", when={"x": ("a", "b")}), Case("n", when={"x": ("a",), "y": ("k",)})
+    assert Fix("x", cases=(wide, narrow)).covered() == [2]
+    assert Fix("x", cases=(narrow, wide)).covered() == []
+    assert Fix("x", cases=(wide, Case("s", when={"x": ("a",)}, strip="?"))).covered() == []
+    assert Fix("x", cases=(Case("l", like={"x": "^a"}), Case("m", like={"x": "^a"}, when={"y": ("k",)}), Case("o", like={"x": "^b"}))).covered() == [2]
+
+
+def test_no_rule_of_the_tables_is_covered():
+    fixes = [*tables.LAUNCH_FIXES, tables.PAYLOAD_ORG_FIX, *tables.SATELLITE_FIXES, *tables.PAYLOAD_FIXES]
+    assert {fix.column: fix.covered() for fix in fixes if fix.covered()} == {}
