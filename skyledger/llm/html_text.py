@@ -43,23 +43,54 @@ NOISE_NAMES = frozenset(
     " breadcrumbs footer header masthead cookie cookies consent gdpr notice popup modal overlay newsletter subscribe signup comment comments"
     " reply replies disqus share sharing social related widget toolbar login search pagination pager copyright".split()
 )
+#: Names of reader comments, which hold articles and headings of their own, and of articles that only point to others.
+REMARKS = frozenset("comment comments disqus replies".split())
+POINTERS = REMARKS | frozenset("ad ads advert advertisement related reply teaser teasers promo".split())
+#: Names that an article's own paragraphs bear too: there they raise doubt.
+SOFT = frozenset("copyright header reply search".split())
+#: Words that say nothing beside another: ``comment-list`` is a name for comments, ``share-price`` none for sharing.
+CONTAINERS = frozenset(
+    "area article articles block body box button buttons container content entry form group inner item items link links list main module page panel"
+    " post posts section site stories story text title unit wrap wrapper".split()
+)
+#: Elements that carry a page's text; a noise word within a longer name says nothing about them.
+TEXTUAL = frozenset("p span a b i em strong li dd dt td th blockquote pre code figure figcaption".split())
+NAMELESS, WEAK, STRONG = 0, 1, 2
 #: Elements that a start tag of the same group closes when it was left open.
 CLOSED_BY = {"p": BLOCKS - {"body", "html", "head"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 MAIN, OPEN, DOUBT, NOISE = "main", "open", "doubt", "noise"
 
 
-def _role(tag: str, attrs: str, inside: str) -> tuple[str, bool]:
-    """Whether an element starts main text or noise, or is what its parent is, and whether its name alone speaks for noise."""
+def _names(attrs: dict[str, str]) -> Iterator[set[str]]:
+    """The words of each class and of the id: ``commentList`` and ``comment_list`` are comment and list."""
+    for name in attrs.get("class", "").split() + attrs.get("id", "").split():
+        yield set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())) - {""}
+
+
+def _role(tag: str, attrs: str, inside: str) -> tuple[str, int]:
+    """Whether an element starts main text or noise, or is what its parent is, and how strongly its name alone speaks for noise.
+
+    A name speaks strongly if all its words are noise names or containers, weakly if some are noise names.
+    """
     if inside == NOISE or tag in NOISE_TAGS:
-        return NOISE, False
-    names = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(attrs)} if attrs.strip(" /") else {}
-    role = names.get("role", "").lower()
-    if role in NOISE_ROLES or "hidden" in names or names.get("aria-hidden", "").lower() == "true":
-        return NOISE, False
+        return NOISE, NAMELESS
+    found = {k.lower(): (v or "").strip("\"'") for k, v in ATTRIBUTE.findall(attrs)} if attrs.strip(" /") else {}
+    role = found.get("role", "").lower()
+    if role in NOISE_ROLES or "hidden" in found or found.get("aria-hidden", "").lower() == "true":
+        return NOISE, NAMELESS
+    names = [words for words in _names(found) if words & (NOISE_NAMES | POINTERS)]
+    whole = [words for words in names if words <= NOISE_NAMES | POINTERS | CONTAINERS]
     if tag in ("article", "main") or role == "main":
-        return MAIN, False
-    words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", names.get("class", "") + " " + names.get("id", "")).lower()))
-    named = bool(words & NOISE_NAMES) and tag not in HEADINGS and tag not in ("body", "html")
+        return NOISE if tag == "article" and any(words & POINTERS for words in whole) else MAIN, NAMELESS
+    if tag in HEADINGS or tag in ("body", "html"):
+        return inside, NAMELESS
+    if any(words & REMARKS for words in whole):
+        return NOISE, NAMELESS
+    names, whole = ([words for words in some if words & NOISE_NAMES] for some in (names, whole))
+    if any(inside == OPEN or words & NOISE_NAMES - SOFT for words in whole):
+        named = STRONG
+    else:
+        named = WEAK if names and (inside != OPEN or tag not in TEXTUAL) else NAMELESS
     if tag == "header":
         return ("heading" if inside == MAIN else NOISE), named
     return inside, named
@@ -70,7 +101,11 @@ def blocks(page: str) -> list[tuple[str, str]]:
 
     An element whose class or id alone speaks for noise is noise, unless it holds an
     article, a main element or a heading: then what it holds is in doubt inside an
-    article, and is outside of articles what it would be without the name.
+    article, and is outside of articles what it would be without the name. Outside, of
+    headings only an h1 outweighs a whole name such as ``sidebar``; inside, a noise word
+    within a longer name, such as ``share-price``, only raises doubt. Elements named for
+    comments are noise whatever they hold, and so are articles named as comments or
+    teasers. An article within an article is what the element around it is.
 
     Start and end tags nest as far as they do: an end tag closes up to its element or is
     ignored, a paragraph ends where a block begins, whatever inline elements are open in it,
@@ -81,9 +116,10 @@ def blocks(page: str) -> list[tuple[str, str]]:
     stack: list[tuple[str, str, int]] = []
     opened: Counter[str] = Counter()  # open elements by tag
     outer: list[int] = []  # places of the open blocks in the stack
-    # Of each element with such a name, the one around it, and whether it holds an article, a main element or a heading.
-    # What clears an element clears those around it, so the innermost one answers for all.
+    # Of each element with such a name, the one around it, whether it or one around it has a strong name, and whether what
+    # it holds outweighs the name. What clears an element clears those around it, so the innermost one answers for all.
     above: list[int] = []
+    strong: list[bool] = []
     cleared: list[bool] = []
     state, named, text, last = OPEN, -1, [], 0
 
@@ -126,15 +162,16 @@ def blocks(page: str) -> list[tuple[str, str]]:
                 state, named = stack[-1][1:] if stack else (OPEN, -1)
             before = state
             state, by_name = _role(tag, found["attrs"], state)
-            starts = state == MAIN and (before != MAIN or tag in ("article", "main"))
-            if starts or (tag in HEADINGS and state != NOISE):
-                k = named
+            starts = state == MAIN and (before != MAIN or (tag in ("article", "main") and not opened["article"]))
+            k = named
+            if starts or (tag in HEADINGS and state != NOISE and (state != OPEN or tag == "h1" or (k >= 0 and not strong[k]))):
                 while k >= 0 and not cleared[k]:
                     cleared[k], k = True, above[k]
             if starts:
                 named = -1
             elif by_name and state != NOISE:
                 above.append(named)
+                strong.append(by_name == STRONG or (named >= 0 and strong[named]))
                 cleared.append(False)
                 named = len(cleared) - 1
             if tag in BLOCKS:
@@ -143,7 +180,15 @@ def blocks(page: str) -> list[tuple[str, str]]:
             stack.append((tag, state, named))
     text.append(page[last:])
     flush()
-    return [(role if k < 0 else NOISE if not cleared[k] else DOUBT if role == MAIN else role, words) for role, words, k in out]
+
+    def settled_role(role: str, k: int) -> str:
+        if k < 0 or role == NOISE:
+            return role
+        if role == MAIN:
+            return DOUBT if cleared[k] or not strong[k] else NOISE
+        return role if cleared[k] else NOISE
+
+    return [(settled_role(role, k), words) for role, words, k in out]
 
 
 class Hashes(dict):
@@ -181,13 +226,27 @@ def settled(found: list[tuple[str, str]]) -> str | None:
     return "\n".join(text for role, text in found if role == MAIN)
 
 
+def _fringes(covered: np.ndarray) -> np.ndarray:
+    """``covered`` without the fringes of runs that end or start in a neighbouring block: stretches below ``RUN`` tokens in a block that has others."""
+    edges = np.flatnonzero(np.diff(np.r_[False, covered, False].astype(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    out = covered.copy()
+    for a, b in zip(starts.tolist(), ends.tolist()):
+        if b - a < min(RUN, len(covered)):
+            out[a:b] = False
+    return out
+
+
 def unrepeated(roles: Iterable[str], texts: Iterable[str], covered: np.ndarray) -> str:
-    """The main text of a page whose stream's tokens lie in repeated runs where ``covered``."""
+    """The main text of a page whose stream's tokens lie in repeated runs where ``covered``.
+
+    Of a block go whole runs, or all of it; a word that follows a repeated block in both pages stays.
+    """
     kept, at = [], 0
     for role, text in zip(roles, texts):
         if role != MAIN:
             words = text.split(" ")
-            old = covered[at : at + len(words)]
+            old = _fringes(covered[at : at + len(words)])
             at += len(words)
             text = " ".join(w for w, again in zip(words, old) if not again)
         if text and role != NOISE:
@@ -256,7 +315,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) for every row of ``pages``.
 
     Null and empty html gives an empty text. Menus, headers, footers, sidebars, notices,
-    adverts, forms and comments are known by their element, role, class or id. What an
+    adverts, forms and comments are known by their element, role, class or id. What else an
     article or main element holds is text, whole: articles may share passages, and
     adverts may be unique, so repetition decides nothing there. All other blocks of
     every page, noise too, form the page's token stream. A run of ``RUN`` tokens that

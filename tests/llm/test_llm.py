@@ -370,3 +370,60 @@ def test_blocks_take_time_with_the_length_of_a_page():
         start = time.perf_counter()
         html_text.blocks(page + "z")
         assert time.perf_counter() - start < 10
+
+
+REMARK = "<section id='comments'><h2>2 comments</h2><ol class='comment-list'><li class='comment'><article class='comment-body'><p>first!</p></article></ol></section>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><p>story</p>{REMARK}</article>", "story"),
+        (f"<main><article><p>story</p></article>{REMARK}<article class='comment'>me too</article></main>", "story"),
+        ("<article>story</article><article class='related teaser'>other story</article>", "story"),
+        ("<main>story<article class='related teaser'>other story</article></main>", "story"),
+        ("<article>story<div class='share'><article>other story</article></div></article>", "story"),
+        ("<main><div class='has-sidebar'><article>story</article></div></main>", "story"),
+        ("<h1>Title</h1><p>story of six or more plain words</p><div class='cookie-notice'><h2>Cookies</h2>we use them</div>", "Title\nstory of six or more plain words"),
+        ("<p>story</p><div class='sidebar'><h3>About</h3>us</div>", "story"),
+        ("<div class='page has-sidebar'><h2>Title</h2><p>story</p></div>", "Title\nstory"),
+        ("<div class='menu'><h1>Title</h1><p>story</p></div>", "Title\nstory"),
+        ("<p>story</p><div class='has-sidebar'><div class='sidebar'><h3>About</h3>us</div></div>", "story"),
+        ("<article>story<p class='ad'>buy</p><div class='siteFooter'>imprint</div><ul class='share-buttons'><li>tweet</ul></article>", "story"),
+        *(
+            (f"<article>story<p class='{name}'>paragraph</p></article>", "story\nparagraph")
+            for name in ("share-price", "search-results", "related-work", "promotion-result", "ad-hoc", "menu-of-the-day", "reply", "copyright")
+        ),
+        ("<p class='share-price'>story</p>", "story"),
+        ("<article class='post comments-open'>story</article>", "story"),
+    ],
+)
+def test_names_of_elements(page, text):
+    found = html_text.blocks(page)
+    settled = html_text.settled(found)
+    if settled is None:
+        roles, texts = zip(*found)
+        settled = html_text.unrepeated(roles, texts, np.zeros(1000, dtype=bool))
+    assert settled == text
+
+
+def test_doubtful_names_within_articles_are_settled_by_repeats(spark):
+    offer = "<p class='share-offer'>tell all of your friends about this page and win a prize</p>"
+    html = [f"<article>story {i}{offer if i < 2 else ''}<p class='share-price'>price {i} fell</p></article>" for i in range(3)]
+    df = spark.createDataFrame([(i, "http://h/x", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    got = [r["text"] for r in queries.op4(df).orderBy("page_id").collect()]
+    assert got == [f"story {i}\nprice {i} fell" for i in range(3)]
+
+
+def test_fringes_of_runs_stay():
+    def text(roles, blocks, run):
+        tokens = " ".join(blocks).split()
+        start = next(i for i in range(len(tokens)) if tokens[i : i + len(run.split())] == run.split())
+        covered = np.zeros(len(tokens), dtype=bool)
+        covered[start : start + len(run.split())] = True
+        return html_text.unrepeated(roles, blocks, covered)
+
+    offer = "one two three four five six seven eight"
+    assert text(["doubt", "doubt"], [offer, "price fell"], offer + " price") == "price fell"
+    assert text(["doubt"], [f"a {offer} b"], offer) == "a b"
+    assert text(["open"] * 3, ["Home About", "Us Contact Help", "the story begins here"], "Home About Us Contact Help the story") == "the story begins here"
