@@ -45,6 +45,11 @@ TEMPLATES: dict[str, str] = {
         " above copyright notice and this permission notice appear in all copies."
     ),
     "MIT notice": "Licensed under the MIT License.",
+    "MIT tag": "SPDX-License-Identifier: MIT",
+    "Apache-2.0 tag": "SPDX-License-Identifier: Apache-2.0",
+    "GPL-3.0 tag": "SPDX-License-Identifier: GPL-3.0",
+    "Apache-2.0 short": "Licensed under Apache 2.0.",
+    "GPL-3.0 short": "Licensed under the GPLv3.",
     "Apache-2.0 notice": "Released under the Apache License 2.0.",
     "GPL-2.0 notice": "Licensed under the GNU General Public License, version 2.",
     "GPL-3.0 notice": "Licensed under the GNU GPL v3.",
@@ -204,17 +209,19 @@ class Scanner:
 def scanned(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, coverage: float = 0.9, text: str = "text", carry: Sequence[str] = ("*",)) -> DataFrame:
     """Columns ``carry`` of every row as struct ``row``, with ``found``: the notices in its whole text, in order.
 
+    Each comes with the words that match (``matched``) and their share of the template.
     Null, empty and wordless texts hold none; repeated notices are found each. Words are
     runs of letters and digits, A-Z lower-cased, so punctuation and line breaks do not
     matter. No shuffle.
     """
-    kind = "array<struct<license: string, coverage: double, first_word: long, last_word: long>>"
+    kind = "array<struct<license: string, coverage: double, first_word: long, last_word: long, matched: long>>"
 
     @F.pandas_udf(kind)
     def scan(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scanner = Scanner(templates, coverage)
-        fields = ("license", "coverage", "first_word", "last_word")
+        fields, sizes = ("license", "coverage", "first_word", "last_word"), dict(zip(scanner.names, map(len, scanner.words)))
         for texts in parts:
-            yield pd.Series([[dict(zip(fields, match)) for match in scanner.scan(t or "")] for t in texts], dtype=object)
+            found = [[dict(zip(fields, match), matched=round(match[1] * sizes[match[0]])) for match in scanner.scan(t or "")] for t in texts]
+            yield pd.Series(found, dtype=object)
 
     return docs.select(F.struct(*carry).alias("row"), F.col(text).alias("body")).select("row", scan("body").alias("found"))

@@ -44,9 +44,12 @@ def query(name: str, table: str, oracle: str | None = None):
 
 @query("op1_license_scan", "documents")
 def op1(documents: DataFrame) -> DataFrame:
-    """The license notices of every document: all in order, and the one with the most words in common."""
+    """The license notices of every document: all in order, and the one with the most words in common.
+
+    Of notices with as many, the one with the greater coverage, then the first in the text.
+    """
     rows = licenses.scanned(documents.select("doc_id", "text"), carry=("doc_id",))
-    best = F.expr("array_max(transform(found, x -> named_struct('c', x.coverage, 'words', x.last_word - x.first_word, 'name', x.license)))")
+    best = F.expr("array_max(transform(found, x -> named_struct('words', x.matched, 'c', x.coverage, 'early', -x.first_word, 'name', x.license)))")
     return rows.select(
         "row.doc_id",
         best["name"].alias("license"),
