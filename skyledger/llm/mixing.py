@@ -54,7 +54,8 @@ def tilts(cells: DataFrame, goals: DataFrame, most: float, tolerance: float = 1e
     The tilt solves one increasing equation per source: a Newton step on its logarithm,
     or the middle of the bracket where the step leaves it. Each round is one distributed
     aggregation over cells (source, size, n) for all sources at once; the driver sees
-    the largest relative error and nothing else.
+    the largest relative error and nothing else. A solve that does not reach
+    ``tolerance`` within ``rounds`` raises.
     """
     worded = cells.where("size > 0")
     shape = worded.groupBy("source").agg(F.min("size").alias("least"), (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
@@ -83,8 +84,8 @@ def tilts(cells: DataFrame, goals: DataFrame, most: float, tolerance: float = 1e
         state = written(sums.select("source", "target", "mean", "low", "high", moved.alias("tilt"), "error"), "tilt")
         worst = state.agg(F.max("error")).first()[0]
         if worst is None or worst <= tolerance:
-            break
-    return state
+            return state
+    raise RuntimeError(f"no mix within {tolerance} of its targets after {rounds} rounds: {worst}")
 
 
 def _factor(goal: float, most: float, first: int, rate: np.ndarray, mass: np.ndarray, words: np.ndarray) -> float:
@@ -167,6 +168,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3
     rates = cells.where("size > 0").alias("c").join(state.alias("s"), same)
     rates = rates.select("c.source", "size", "n", F.least(F.exp(power), F.lit(float(most))).alias("rate"))
     plan = rates.groupBy("source").applyInPandas(lambda cells: _rounded(cells, most), "source string, size long, n long, copies long")
+    plan = plan.unionByName(cells.where("size = 0").withColumn("copies", F.lit(0).cast("long")))
     plan = plan.alias("p").join(goals.alias("g"), F.col("p.source").eqNullSafe(F.col("g.source")))
     plan = plan.select(
         F.col("p.source").alias("plan_source"), F.col("size").alias("plan_size"), "source_size", "target",
@@ -175,17 +177,13 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3
     )
     plan = written(plan, "copies")
 
-    worded = rows.where("size > 0").join(plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("size") == F.col("plan_size")))
-    worded = worded.withColumn("hash", F.xxhash64("id")).withColumn("salt", F.pmod(F.shiftright("hash", 20), F.col("salts")))
-    worded = worded.repartition("plan_source", "plan_size", "salt")
+    every = rows.join(plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("size") == F.col("plan_size")))
+    every = every.withColumn("hash", F.xxhash64("id")).withColumn("salt", F.pmod(F.shiftright("hash", 20), F.col("salts")))
+    every = every.repartition("plan_source", "plan_size", "salt")
     nth = F.row_number().over(Window.partitionBy("plan_source", "plan_size", "salt").orderBy("hash", "id"))
-    worded = worded.withColumn("nth", nth).withColumn("phase", (F.col("salt") + 0.5) / F.col("salts"))
+    every = every.withColumn("nth", nth).withColumn("phase", (F.col("salt") + 0.5) / F.col("salts"))
     chosen = F.floor(F.col("nth") * F.col("extra") + F.col("phase")) - F.floor((F.col("nth") - 1) * F.col("extra") + F.col("phase"))
-    worded = worded.select("row", "size", "source_size", "target", (F.col("base") + chosen).alias("copies"))
-
-    wordless = rows.where("size = 0").alias("r").join(goals.alias("g"), F.col("r.source").eqNullSafe(F.col("g.source")))
-    wordless = wordless.select("row", "size", "source_size", "target", F.lit(0).cast("long").alias("copies"))
-    return worded.unionByName(wordless)
+    return every.select("row", "size", "source_size", "target", (F.col("base") + chosen).alias("copies"))
 
 
 def copied(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0) -> DataFrame:
