@@ -72,7 +72,8 @@ def keep_one(docs: DataFrame, salts: int = 16) -> DataFrame:
 
     The winners, without texts, are joined with the rows on id, digest and length: a
     group of copies is spread by its ids. Columns of any name pass through; of rows that
-    repeat id and content one stays.
+    repeat id, content and length, the one with the least hash of all its columns stays, so
+    that reruns agree.
     """
     best = groups_of_copies(docs, salts).select("digest", F.col("best.doc_id").alias("keep_id"), (-F.col("best.shorter")).alias("length"))
     best = written(best, "winners")
@@ -80,4 +81,6 @@ def keep_one(docs: DataFrame, salts: int = 16) -> DataFrame:
     keys = ["nameless", "named", "digest", "length"]
     rows = rows.withColumn("nameless", F.col("id").isNull()).withColumn("named", F.coalesce(F.col("id"), F.lit(0))).drop("id")
     best = best.withColumn("nameless", F.col("keep_id").isNull()).withColumn("named", F.coalesce(F.col("keep_id"), F.lit(0))).drop("keep_id")
-    return rows.join(best, keys).dropDuplicates(keys).select("row.*")
+    # maps have no hash of their own
+    whole = F.to_json("row") if "map<" in rows.schema["row"].dataType.simpleString() else F.col("row")
+    return rows.join(best, keys).groupBy(*keys).agg(F.min_by("row", F.xxhash64(whole)).alias("row")).select("row.*")

@@ -427,3 +427,94 @@ def test_fringes_of_runs_stay():
     assert text(["doubt", "doubt"], [offer, "price fell"], offer + " price") == "price fell"
     assert text(["doubt"], [f"a {offer} b"], offer) == "a b"
     assert text(["open"] * 3, ["Home About", "Us Contact Help", "the story begins here"], "Home About Us Contact Help the story") == "the story begins here"
+
+
+def test_shards_against_prefix_sums(spark):
+    r = random.Random(5)
+    sizes = [(i, r.choice([1, 7, 50, 50, 3000 if i % 90 == 0 else 9])) for i in r.sample(range(5000), 900)] + [(5001, 40000)]
+    out = sharding.shard_by_bytes(spark.createDataFrame(sizes, "id long, bytes long").repartition(7), F.col("bytes"), 8, order=("id",)).collect()
+    total, start, want, slots = sum(s for _, s in sizes), 0, set(), collections.Counter()
+    for i, size in sorted(sizes):
+        shard = start * 8 // total
+        want.add((i, size, start, shard, slots[shard]))
+        slots[shard] += 1
+        start += size
+    assert {(x["row"]["id"], x["size"], x["start"], x["shard"], x["slot"]) for x in out} == want and len(out) == len(want)
+
+
+def test_tilts_against_bisection(spark):
+    r = random.Random(6)
+    table = [(s, r.randint(1, 400) if s != "even" else 20, r.randint(1, 9)) for s in ("a", "b", None) for _ in range(40)] + [("even", 20, 50)]
+    cells = spark.createDataFrame(table, "source string, size long, n long").groupBy("source", "size").agg(F.sum("n").alias("n"))
+    sizes = {s: sum(x * n for t, x, n in table if t == s) for s in ("a", "b", None, "even")}
+    wanted = {"a": 0.3, "b": 2.9, None: 1.0, "even": 2.0}
+    goals = spark.createDataFrame([(s, sizes[s], wanted[s] * sizes[s]) for s in sizes], "source string, source_size long, target double")
+    for row in mixing.tilts(cells, goals, 3.0).collect():
+        mine = [(x, n) for s, x, n in table if s == row["source"]]
+        mean = sum(x * n for x, n in mine) / sum(n for _, n in mine)
+        low, high = -1000.0, 1000.0
+        for _ in range(200):
+            tilt = (low + high) / 2
+            words = sum(x * n * math.exp(min(tilt * x / mean, math.log(3))) for x, n in mine)
+            low, high = (low, tilt) if words > row["target"] else (tilt, high)
+        assert row["tilt"] == pytest.approx(low, rel=1e-4, abs=1e-6), row["source"]
+    with pytest.raises(RuntimeError, match="no mix"):
+        mixing.tilts(cells, goals, 3.0, rounds=1)
+
+
+@pytest.mark.parametrize("table", [[(1, "a b", "s"), (2, "c", "s")], [(1, "", "s"), (2, None, None)], [(1, "a b", "s"), (1, "a b", "s"), (2, " ", "s"), (3, None, "t")]])
+def test_mix_of_few_words(spark, table):
+    out = mixing.mixed(spark.createDataFrame(table, "doc_id long, text string, source string"), carry=("doc_id",)).collect()
+    assert collections.Counter(x["row"]["doc_id"] for x in out) == collections.Counter(i for i, *_ in table)
+    total = sum(len((t or "").split()) for _, t, _ in table)
+    assert sum(x["size"] * x["copies"] for x in out) == total and all(x["copies"] == 0 for x in out if x["size"] == 0)
+
+
+def test_one_of_repeated_rows_stays_whatever_their_order(spark):
+    table = [(1, BASE, f"l{i}", {"k": i}) for i in range(10)] + [(2, BASE, "z", {})]
+    kept = set()
+    for order in (table, table[::-1], table[5:] + table[:5]):
+        df = spark.createDataFrame(order, "doc_id long, text string, lang string, extra map<string,int>").repartition(4)
+        kept |= {r["lang"] for r in exact_dedup.keep_one(df).collect()}
+    assert len(kept) == 1
+
+
+def _common_words(a, b):
+    last = [0] * (len(b) + 1)
+    for x in a:
+        now = [0]
+        for j, y in enumerate(b):
+            now.append(last[j] + 1 if x == y else max(last[j + 1], now[j]))
+        last = now
+    return last[-1]
+
+
+def test_licenses_against_longest_common_subsequences():
+    """Every notice planted with up to 5 percent of its words lacking is found, and what is found matches that many words."""
+    r = random.Random(7)
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    size = dict(zip(scanner.names, scanner.words))
+    names = [n for n in scanner.names if len(size[n]) < 400]
+    for trial in range(120):
+        name = names[trial % len(names)]
+        words = [w.decode() for w in size[name]]
+        if len(words) >= licenses.SHORT:
+            for k in sorted(r.sample(range(len(words)), len(words) // 20), reverse=True):
+                del words[k]
+        before, after = ([f"zz{r.randint(0, 50)}" for _ in range(r.randint(0, 80))] for _ in range(2))
+        whole = licenses.license_words(" ".join(before + words + after))
+        found = scanner.scan(" ".join(before + words + after))
+        assert [m[0] for m in found] == [name]
+        for kind, coverage, first, last in found:
+            matched = round(coverage * len(size[kind]))
+            assert matched <= _common_words(whole[first : last + 1], size[kind]) and coverage >= 0.75
+            assert len(before) <= first <= last < len(before) + len(words)
+
+
+def test_license_with_most_words_and_short_forms(spark):
+    words = licenses.TEMPLATES["GPL-3.0 text"].split()
+    text = " ".join(words[:40] + words[41:90] + words[91:]) + "\nLicensed under CC BY 4.0"
+    texts = [text, "SPDX-License-Identifier: MIT", "under the Apache-2.0 license, free", "code licensed under GPLv3", "// SPDX-License-Identifier: GPL-2.0", "Apache 2.0"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r["license"] for r in queries.op1(df).orderBy("doc_id").collect()]
+    assert got == ["GPL-3.0 text", "MIT tag", "Apache-2.0 short", "GPL-3.0 short", None, None]
