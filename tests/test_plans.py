@@ -11,6 +11,7 @@ from skyledger.operators.lookups import left_detail, rebalanced, with_key_count,
 from skyledger.operators.quality import foreign_key, primary_key
 from skyledger.plans.shape import Inputs, bridge
 from skyledger.plans.tables import organization, satellite_owner_org
+from skyledger.session import tune
 from skyledger.sinks.csv_files import export_sorted_csv
 from skyledger.sources.registry import LAYOUTS
 
@@ -98,6 +99,25 @@ def test_hot_key_is_split(spark, tmp_path, small_limits, hot):
         assert "SortMergeJoin(skew=true)" in plan(joined), plan(joined)
 
 
+def test_a_lookup_is_broadcast_by_its_measured_size(spark, tmp_path):
+    """Two columns of a wide catalog that has little else hold far more than their share of its files."""
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    blank = [f"CAST(NULL AS STRING) AS blank_{i}" for i in range(30)]
+    spark.range(0, 200_000, 1, 4).selectExpr("md5(CAST(id AS STRING)) AS label", "md5(CAST(-id AS STRING)) AS key", *blank).write.parquet(str(tmp_path / "wide"))
+    spark.range(10).selectExpr("md5(CAST(id AS STRING)) AS name").write.parquet(str(tmp_path / "rows"))
+    wide, rows = spark.read.parquet(str(tmp_path / "wide")), spark.read.parquet(str(tmp_path / "rows"))
+    try:
+        tune(spark)
+        for lookup, broadcasts in ((wide.select("label", "key"), 0), (wide.where("label < '01'").select("label", "key"), 1)):
+            joined = left_detail(rows, rebalanced(lookup.distinct()), "name", "label")
+            assert len(joined.collect()) == 10
+            final = plan(joined).split("== Initial Plan ==")[0]
+            assert final.count("BroadcastHashJoin") == broadcasts, final
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
 def test_lookups_run_nothing_before_the_action(spark, tmp_path):
     spark.range(100).selectExpr("id", "concat('k', id % 7) AS name").write.parquet(str(tmp_path / "rows"))
     rows = spark.read.parquet(str(tmp_path / "rows"))
