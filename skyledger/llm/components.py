@@ -76,7 +76,8 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
     and the rest shrink, by a random part each round since priorities are hashes that
     change with the round. No node is lost: a node and what it hooks onto were linked, so
     their new names are. Partial aggregation keeps a node with very many links from
-    meeting in one task. At the end the hooks are followed round by round.
+    meeting in one task. At the end the hooks are followed from the last round to the first,
+    so that the rows joined are as many as all hooks, a small multiple of the nodes.
     """
     # written first: links may come out of another evaluation in another order or choice
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -95,10 +96,11 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
             break
     else:
         raise RuntimeError(f"links still connect different groups after {rounds} rounds")
-    labels = hooks[0].withColumnRenamed("onto", "component")
-    for later in hooks[1:]:
-        onto = later.withColumnRenamed("node", "component")
-        labels = labels.join(onto, "component", "left").select("node", F.coalesce("onto", "component").alias("component"))
+    # from the last round back: each round's nodes are joined once, and the rounds shrink
+    labels = hooks[-1].withColumnRenamed("onto", "component")
+    for earlier in reversed(hooks[:-1]):
+        later = labels.withColumnRenamed("node", "onto")
+        labels = earlier.join(later, "onto", "left").select("node", F.coalesce("component", "onto").alias("component"))
     labels = written(labels, "labels")
     smallest = labels.groupBy("component").agg(F.min("node").alias("smallest"))
     return labels.join(smallest, "component").select("node", F.col("smallest").alias("component"))

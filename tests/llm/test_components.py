@@ -72,3 +72,32 @@ def test_near_copies_leave_few_links(spark, monkeypatch):
     got = jaccard.jaccard_components(docs, jaccard.Jaccard(percent=85, width=4))
     assert got.select(F.min("component_id"), F.max("component_id")).first() == (0, 0)
     assert seen and max(seen) <= 2 * 2000
+
+
+def joined_rows(plan):
+    """Rows out of every join of an executed plan, those of its stages included."""
+    name = plan.nodeName()
+    if "AdaptiveSparkPlan" in name:
+        return joined_rows(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return joined_rows(plan.plan())
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in name else 0
+    children = plan.children()
+    return own + sum(joined_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_following_the_hooks_joins_few_rows(spark, monkeypatch):
+    """A long path takes many rounds; the rows joined at the end do not grow with their number."""
+    common.ship(spark)
+    rows = []
+
+    def counted(df, name):
+        if name == "labels":
+            df.collect()
+            rows.append(joined_rows(df._jdf.queryExecution().executedPlan()))
+        return common.written(df, name)
+
+    monkeypatch.setattr(module, "written", counted)
+    links = spark.createDataFrame([(i, i + 1) for i in range(3000)], "a long, b long")
+    assert components(links).where("component = 0").count() == 3001
+    assert 3001 <= rows[0] <= 3 * 3001, rows
