@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from ledger_queries.exchange import write_tsv
 from skyledger.sinks import snapshots
 from skyledger.sinks.csv_files import dump_query, export_sorted_csv, read_csv_export, write_csv
 from skyledger.sinks.sql_script import insert_batches, row_statements, write_script
@@ -171,3 +172,16 @@ def test_part_files_are_checked_and_numbered_through(spark, tmp_path):
     lines = {r["first_line"]: r["files"] for r in first_lines(spark, str(tmp_path), [SPEC]).collect()}
     assert lines == {SPEC.header: 1, "#other": 1}
     assert sorted(r[0] for r in read_numbered_source(spark, str(tmp_path), SPEC).collect()) == [2, 3, 5]
+
+
+def test_folders_are_written_side_by_side(spark, tmp_path):
+    """Rows of several catalogs in turn: compressed part files, no setting left behind, every row in its own."""
+    limit = "spark.sql.maxConcurrentOutputFileWriters"
+    before, root = spark.conf.get(limit), str(tmp_path / "catalogs")
+    rows = spark.range(0, 3000, 1, 2).selectExpr("CAST(id AS STRING) AS A", "'-' AS B", "concat(id % 11, '.tsv') AS file")
+    write_tsv(rows, root, folders_by="file", compression="gzip")
+    assert spark.conf.get(limit) == before
+    names = [p.name for p in (tmp_path / "catalogs").rglob("part-*")]
+    assert len(names) == 22 and all(name.endswith(".gz") for name in names)
+    back = read_sources(spark, root, [SourceSpec(f"file={i}", ("A", "B"), 1) for i in range(11)], "s_catalog")
+    assert back.count() == 3000 and back.where("concat('file=', CAST(A AS LONG) % 11) <> s_catalog").count() == 0
