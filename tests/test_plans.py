@@ -13,6 +13,7 @@ from skyledger.plans.shape import Inputs, bridge
 from skyledger.plans.tables import organization, satellite_owner_org
 from skyledger.session import tune
 from skyledger.sinks.csv_files import export_sorted_csv
+from skyledger.sinks.sql_script import insert_batches
 from skyledger.sources.registry import LAYOUTS
 
 
@@ -147,3 +148,10 @@ def test_export_spreads_a_hot_sort_key(spark, tmp_path):
 def test_list_items_stay_in_generated_code(spark, staged):
     df = bridge(staged["orgs"], {"k": "Code"}, "Parent", "item")
     assert re.search(r"\*\(\d+\) Generate", plan(df)), plan(df)
+
+
+def test_statements_are_batched_and_put_in_order_by_one_shuffle(spark):
+    scripts = insert_batches(spark.range(1000).select("id"), "t", in_order=True)
+    text = plan(scripts.sortWithinPartitions("batch"))
+    assert text.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in text, text
+    assert [r["batch"] for r in scripts.sortWithinPartitions("batch").collect()] == list(range(1, 15))
