@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from skyledger.functions.lists import explode_list
 from skyledger.operators.corrections import correct_from_table
 from skyledger.operators.lookups import left_detail, rebalanced, with_key_count, with_membership, with_surrogate
+from skyledger.operators.numbering import with_row_numbers
 from skyledger.operators.quality import foreign_key, primary_key
 from skyledger.plans.shape import Inputs, bridge
 from skyledger.plans.tables import organization, satellite_owner_org
 from skyledger.session import tune
 from skyledger.sinks.csv_files import export_sorted_csv
+from skyledger.sinks.snapshots import clustered
 from skyledger.sinks.sql_script import insert_batches
 from skyledger.sources.registry import LAYOUTS
 
@@ -145,6 +147,27 @@ def test_export_spreads_a_hot_sort_key(spark, tmp_path):
     assert max(r["count"] for r in files) < 6000
 
 
+def test_ranges_are_dealt_by_the_first_characters_of_texts(spark, tmp_path):
+    """Spark brings a sample of range keys to the driver: whole texts would be a small table whole."""
+    long = "concat(repeat(chr(97 + CAST(id % 3 AS INT)), 250 + CAST(id % 11 AS INT)), 'é', CASE WHEN id % 7 > 0 THEN lpad(id % 50, 400, 'x') END)"
+    spark.range(0, 3000, 1, 4).selectExpr(f"{long} AS t", "id % 2 AS n", "CASE WHEN id % 5 = 0 THEN repeat('z', 300) ELSE CAST(id AS STRING) END AS u").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    order = ["t", "n", "u"]
+    cut = clustered(df, order)
+    ranges = next(line for line in plan(cut).splitlines() if "Exchange rangepartitioning" in line)
+    assert not re.search(r"\b[tu]#", re.sub(r"substring\([tu]#\d+, 1, 256\)|length\([tu]#\d+\)", "", ranges)), ranges
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = [tuple(r) for r in cut.collect()]
+        numbered = with_row_numbers(df, order)
+        assert cut.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    key = lambda r: [(v is not None, v.encode() if isinstance(v, str) else v) for v in r]
+    assert found == sorted((tuple(r) for r in df.collect()), key=key)
+    assert [tuple(r)[:3] for r in numbered.orderBy("row_number").collect()] == found
+
+
 def test_list_items_stay_in_generated_code(spark, staged):
     df = bridge(staged["orgs"], {"k": "Code"}, "Parent", "item")
     assert re.search(r"\*\(\d+\) Generate", plan(df)), plan(df)
