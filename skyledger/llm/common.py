@@ -11,6 +11,8 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.session import freeing_shuffles
+
 #: White space as every operator here means it; words are runs of anything else.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,7 +56,8 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, read back from a table in the shared folder: computed once, lineage cut."""
     path = f"{shared_folder(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with freeing_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -14,6 +14,8 @@ from skyledger.llm.common import written
 
 #: Nodes that a task joins before it hands its links on.
 HELD = 4_000_000
+#: So many links are joined by one task instead of further rounds, whatever the table holds.
+FEW = 5_000
 #: So many partitions go through one task, which hands on a link once that several of them have.
 TOGETHER = 8
 
@@ -39,6 +41,25 @@ class Forest:
             self.up[max(a, b)] = min(a, b)
 
 
+def _handed_on(forest: Forest) -> Iterator[pd.DataFrame]:
+    found = [(forest.root(node), node) for node in list(forest.up)]
+    for start in range(0, len(found), 100_000):
+        yield pd.DataFrame(found[start : start + 100_000], columns=["a", "b"])
+
+
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(root, node) of each node that is not a root, of all links of a task or of HELD nodes at a time."""
+    forest = Forest()
+    for batch in batches:
+        pairs = np.unique(batch.to_numpy(dtype=np.int64), axis=0)
+        for a, b in pairs.tolist():
+            forest.join(a, b)
+        if len(forest.up) > HELD:
+            yield from _handed_on(forest)
+            forest = Forest()
+    yield from _handed_on(forest)
+
+
 def spanning(links: DataFrame) -> DataFrame:
     """(a, b) that connect what the links of each task connect, one link for each node of it at most.
 
@@ -46,26 +67,9 @@ def spanning(links: DataFrame) -> DataFrame:
     mostly the group's smallest, so that few distinct links remain of many. Tasks take
     TOGETHER partitions each, as long as there are enough for all cores.
     """
-
-    def handed_on(forest: Forest) -> Iterator[pd.DataFrame]:
-        found = [(forest.root(node), node) for node in list(forest.up)]
-        for start in range(0, len(found), 100_000):
-            yield pd.DataFrame(found[start : start + 100_000], columns=["a", "b"])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forest = Forest()
-        for batch in batches:
-            pairs = np.unique(batch.to_numpy(dtype=np.int64), axis=0)
-            for a, b in pairs.tolist():
-                forest.join(a, b)
-            if len(forest.up) > HELD:
-                yield from handed_on(forest)
-                forest = Forest()
-        yield from handed_on(forest)
-
     spark = links.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // TOGETHER)
-    return links.select("a", "b").coalesce(tasks).mapInPandas(run, "a long, b long")
+    return links.select("a", "b").coalesce(tasks).mapInPandas(_joined, "a long, b long")
 
 
 def components(links: DataFrame, rounds: int = 100) -> DataFrame:
@@ -76,8 +80,9 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
     and the rest shrink, by a random part each round since priorities are hashes that
     change with the round. No node is lost: a node and what it hooks onto were linked, so
     their new names are. Partial aggregation keeps a node with very many links from
-    meeting in one task. At the end the hooks are followed from the last round to the first,
-    so that the rows joined are as many as all hooks, a small multiple of the nodes.
+    meeting in one task. The last links, FEW at most, are joined in one task. At the end the
+    hooks are followed from the last round to the first, so that the rows joined are as many
+    as all hooks, a small multiple of the nodes.
     """
     # written first: links may come out of another evaluation in another order or choice
     links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -92,13 +97,14 @@ def components(links: DataFrame, rounds: int = 100) -> DataFrame:
         b = hooks[-1].select(F.col("node").alias("b"), F.col("onto").alias("y"))
         moved = links.join(a, "a").join(b, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         links = written(moved.distinct(), "links")
-        if links.isEmpty():
+        if links.count() <= FEW:
             break
     else:
         raise RuntimeError(f"links still connect different groups after {rounds} rounds")
+    # the last links in one task; nodes without a link are groups by now
+    labels = links.coalesce(1).mapInPandas(_joined, "a long, b long").select(F.col("b").alias("node"), F.col("a").alias("component"))
     # from the last round back: each round's nodes are joined once, and the rounds shrink
-    labels = hooks[-1].withColumnRenamed("onto", "component")
-    for earlier in reversed(hooks[:-1]):
+    for earlier in reversed(hooks):
         later = labels.withColumnRenamed("node", "onto")
         labels = earlier.join(later, "onto", "left").select("node", F.coalesce("component", "onto").alias("component"))
     labels = written(labels, "labels")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -90,6 +90,25 @@ class Jaccard:
             bitmap = bitmap[: len(bitmap) // 2] | bitmap[len(bitmap) // 2 :]
         return bitmap
 
+    @staticmethod
+    def sketch(hashes: np.ndarray) -> np.ndarray:
+        """How many shingles fall on each of n/8 to n/4 counters (16 at least), 255 at most; halves fold onto each other."""
+        counters = max(16, (1 << len(hashes).bit_length()) >> 3)
+        at = (mix(hashes ^ np.uint64(0x2E6B)) & np.uint64(counters - 1)).astype(np.int64)
+        return np.minimum(np.bincount(at, minlength=counters), 255).astype(np.uint8)
+
+    @staticmethod
+    def halved(sketch: np.ndarray, counters: int) -> np.ndarray:
+        """The sketch as on fewer counters, in numbers that hold sums."""
+        return sketch.reshape(-1, counters).sum(0, dtype=np.int32)
+
+    def may_link(self, a: int, x: np.ndarray, b: int, y: np.ndarray) -> bool:
+        """Counters of two sets differ in sum by no more than the sets do; if that is too much, no link."""
+        if 100 * min(a, b) < self.percent * max(a, b):
+            return False
+        counters = min(len(x), len(y))
+        return int(np.abs(self.halved(x, counters) - self.halved(y, counters)).sum()) <= self.largest_difference(a, b)
+
     def enough(self, common: int, a: int, b: int) -> bool:
         return 100 * common >= self.percent * (a + b - common)
 
@@ -110,14 +129,21 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def _sets(docs: DataFrame, rule: Jaccard) -> DataFrame:
-    """id, n and set of each document; the empty set is named 0."""
+    """id, n, set and sketch of each document; the empty set is named 0. Of copies in a task, one has the sketch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()
         for batch in batches:
-            found = [(len(s), set_id(s)) for chunk in in_chunks(batch["text"]) for s in shingle_sets(chunk, rule.width)]
-            yield batch[["id"]].assign(n=[n for n, _ in found], set=[s for _, s in found])
+            found: list[tuple[int, int, bytes | None]] = []
+            for chunk in in_chunks(batch["text"]):
+                for hashes in shingle_sets(chunk, rule.width):
+                    name = set_id(hashes)
+                    told = len(hashes) < 2 or name in seen
+                    found.append((len(hashes), name, None if told else rule.sketch(hashes).tobytes()))
+                    seen.add(name)
+            yield batch[["id"]].assign(n=[n for n, _, _ in found], set=[s for _, s, _ in found], sketch=[k for _, _, k in found])
 
-    return docs.mapInPandas(run, "id long, n long, set long")
+    return docs.mapInPandas(run, "id long, n long, set long, sketch binary")
 
 
 def _signatures(docs: DataFrame, rule: Jaccard) -> DataFrame:
@@ -176,34 +202,112 @@ def spanning_links(names: list[int], sides: list[int], hashes: list[np.ndarray],
     return links
 
 
-def _tile_links(rows: DataFrame, rule: Jaccard) -> DataFrame:
-    """Spanning links of each tile of (tile, side, set, text); rows come by tile, and a task holds one at a time."""
+def _runs(signatures: DataFrame, rule: Jaccard) -> DataFrame:
+    """run, lead, set, wide: the sets of each key, cut where neighbouring sizes are out of reach of each other.
+
+    Runs of the same sets are one, whatever their keys. The lead is a run's smallest set; a run of two sets is not wide.
+    """
+    by_size = Window.partitionBy("key").orderBy("n", "set")
+    # several tasks speak for copies that are in each of them
+    rows = signatures.repartition("key").withColumn("again", F.lag("set").over(by_size)).where("again IS NULL OR again <> set")
+    rows = rows.withColumn("sets", F.count("*").over(Window.partitionBy("key"))).where("sets > 1")
+    out_of_reach = F.col("n") * rule.percent > F.lag("n").over(by_size) * 100
+    rows = rows.withColumn("gap", F.coalesce(out_of_reach.cast("int"), F.lit(0))).withColumn("run", F.sum("gap").over(by_size))
+    in_run = Window.partitionBy("key", "run")
+    rows = rows.select(
+        "set",
+        F.first("set").over(in_run.orderBy("n", "set")).alias("lead"),
+        F.count("*").over(in_run).alias("sets"),
+        F.bit_xor(F.xxhash64("set")).over(in_run).alias("all"),
+    ).where("sets > 1")
+    return rows.select(F.xxhash64("lead", "sets", "all").alias("run"), "lead", "set", (F.col("sets") > 2).alias("wide")).distinct()
+
+
+def _lead_links(runs: DataFrame, sketches: DataFrame, rule: Jaccard) -> DataFrame:
+    """(a, b): leads and sets of their runs that may link, by their sketches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def links(parts: list[pd.DataFrame]) -> list[tuple[int, int]]:
-            part = parts[0] if len(parts) == 1 else pd.concat(parts)
-            hashes = (h for chunk in in_chunks(part["text"]) for h in shingle_sets(chunk, rule.width))
-            # an id that several texts bear brings all of them: each set is taken once, under its own name
-            kept = {(name, side): h for name, side, h in zip(part["set"], part["side"], hashes) if set_id(h) == name}
-            return spanning_links([n for n, _ in kept], [side for _, side in kept], list(kept.values()), rule)
+        for batch in batches:
+            pairs = zip(batch["n"], batch["sketch"], batch["n_b"], batch["sketch_b"])
+            kept = [rule.may_link(n, np.frombuffer(x, np.uint8), m, np.frombuffer(y, np.uint8)) for n, x, m, y in pairs]
+            yield batch.loc[np.array(kept, dtype=bool), ["a", "b"]]
+
+    pairs = runs.where("set <> lead").select(F.col("lead").alias("a"), F.col("set").alias("b")).distinct()
+    of_b = sketches.select(F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    pairs = pairs.join(sketches.withColumnRenamed("set", "a"), "a").join(of_b, "b")
+    return pairs.mapInPandas(run, "a long, b long")
+
+
+def class_links(classes: list[int], sizes: list[int], sketches: list[np.ndarray], rule: Jaccard) -> list[tuple[int, int]]:
+    """Links that connect the classes of which some sets may link, by their sketches."""
+    order = sorted(range(len(sizes)), key=lambda k: sizes[k])
+    n, sketches = np.array([sizes[k] for k in order]), [sketches[k] for k in order]
+    names, root = np.unique(np.array([classes[k] for k in order], dtype=np.int64), return_inverse=True)
+    widths, links = np.array([len(x) for x in sketches]), []
+    for width in np.unique(widths):
+        wide = np.flatnonzero(widths >= width)
+        rows = np.stack([rule.halved(sketches[k], int(width)) for k in wide])
+        for i in np.flatnonzero(widths == width):
+            reach = np.searchsorted(n, rule.largest_partner(int(n[i])), side="right")
+            some = np.flatnonzero((wide > i) & (wide < reach))
+            some = some[root[wide[some]] != root[i]]
+            apart = np.abs(rows[some] - rows[i - wide[0]]).sum(1)
+            for j in wide[some[apart <= (100 - rule.percent) * (n[i] + n[wide[some]]) // (100 + rule.percent)]]:
+                if root[j] != root[i]:
+                    links.append((int(names[root[i]]), int(names[root[j]])))
+                    root[root == root[j]] = root[i]
+    return links
+
+
+def _class_links(runs: DataFrame, classes: DataFrame, sketches: DataFrame, rule: Jaccard) -> DataFrame:
+    """(a, b): classes that meet in a run in which any of their sets may link; a task holds one run at a time."""
 
+    def links(part: pd.DataFrame) -> list[tuple[int, int]]:
+        return class_links(part["class"].tolist(), part["n"].tolist(), [np.frombuffer(x, np.uint8) for x in part["sketch"]], rule)
+
+    members = runs.where("wide").select("run", "set").join(classes, "set")
+    mixed = members.groupBy("run").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most").select("run")
+    rows = members.join(mixed, "run").join(sketches, "set").select("run", "class", "n", "sketch")
+    return _by_group(rows, "run", links)
+
+
+def _by_group(rows: DataFrame, group: str, links: Callable[[pd.DataFrame], list[tuple[int, int]]]) -> DataFrame:
+    """(a, b) of each group of rows; they come by group, and a task holds one at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
+
+        def ended() -> list[tuple[int, int]]:
+            return links(held[0] if len(held) == 1 else pd.concat(held))
+
         for batch in batches:
             out: list[tuple[int, int]] = []
-            ends = np.flatnonzero(np.r_[batch["tile"].to_numpy()[1:] != batch["tile"].to_numpy()[:-1], True]) + 1
+            names = batch[group].to_numpy()
             start = 0
-            for end in ends.tolist():
+            for end in (np.flatnonzero(np.r_[names[1:] != names[:-1], True]) + 1).tolist():
                 part = batch.iloc[start:end]
-                if held and held[0]["tile"].iloc[0] != part["tile"].iloc[0]:
-                    out += links(held)
-                    held = []
+                if held and held[0][group].iloc[0] != part[group].iloc[0]:
+                    out += ended()
+                    held.clear()
                 held.append(part)
                 start = end
             yield pd.DataFrame(out, columns=["a", "b"])
         if held:
-            yield pd.DataFrame(links(held), columns=["a", "b"])
+            yield pd.DataFrame(ended(), columns=["a", "b"])
+
+    return rows.repartition(group).sortWithinPartitions(group).mapInPandas(run, "a long, b long")
 
-    return rows.repartition("tile").sortWithinPartitions("tile").mapInPandas(run, "a long, b long")
+
+def _tile_links(rows: DataFrame, rule: Jaccard) -> DataFrame:
+    """Spanning links of each tile of (tile, side, set, text)."""
+
+    def links(part: pd.DataFrame) -> list[tuple[int, int]]:
+        hashes = (h for chunk in in_chunks(part["text"]) for h in shingle_sets(chunk, rule.width))
+        # an id that several texts bear brings all of them: each set is taken once, under its own name
+        kept = {(name, side): h for name, side, h in zip(part["set"], part["side"], hashes) if set_id(h) == name}
+        return spanning_links([n for n, _ in kept], [side for _, side in kept], list(kept.values()), rule)
+
+    return _by_group(rows, "tile", links)
 
 
 def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFrame:
@@ -215,29 +319,35 @@ def jaccard_components(docs: DataFrame, rule: Jaccard | None = None) -> DataFram
     rows of their own. A component whose ids are all null has a null component_id.
 
     1. Each distinct set sends its name under its keys (``Jaccard.signatures``): sets
-       that link share a key, sets that do not seldom do. A key's sets are cut where
-       neighbouring sizes are out of reach of each other; of each run only the star
-       around its smallest set remains, and of the stars of a task a forest.
-    2. Sets that runs connect form a block; no link leaves it. A block that one task can
+       that link share a key. A key's sets are cut where neighbouring sizes are out of
+       reach of each other; what remains of several sets is a run.
+    2. Sets that share a phrase may share a key too, the more of them the larger the table:
+       runs alone would connect most of it. So sets count as connected only if their sketches
+       allow a link (``Jaccard.may_link``): first each run's smallest set and the others; then, in
+       runs of sets that this leaves in several classes, all sets of different classes.
+    3. Sets so connected form a block; no link leaves it. A block that one task can
        hold is one tile; others are cut by size band, and bands into sides of bounded
        bytes, and sides are paired where their sizes allow a link. A set travels once
        per tile that it is in.
-    3. A tile pair finds spanning links by bitmaps and exact intersection, so that a
+    4. A tile pair finds spanning links by bitmaps and exact intersection, so that a
        large group of near copies gives as many rows as it has members, not its square.
     """
     rule = rule or Jaccard()
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     lean = written(_sets(docs, rule), "sets")
-    by_size = Window.partitionBy("key").orderBy("n", "set")
-    out_of_reach = F.col("n") * rule.percent > F.lag("n").over(by_size) * 100
-    runs = _signatures(docs, rule).repartition("key").withColumn("gap", out_of_reach.cast("int"))
-    runs = runs.withColumn("run", F.sum(F.coalesce("gap", F.lit(0))).over(by_size))
-    stars = runs.withColumn("lead", F.first("set").over(Window.partitionBy("key", "run").orderBy("n", "set"))).where("set != lead")
-    stars = spanning(stars.select(F.col("lead").alias("a"), F.col("set").alias("b")))
-    blocks = components(stars).select(F.col("node").alias("set"), F.col("component").alias("block"))
+    sketches = written(lean.where("sketch IS NOT NULL").select("set", "n", "sketch").dropDuplicates(["set"]), "sketches")
+    lean = lean.drop("sketch")
+    runs = written(_runs(_signatures(docs, rule), rule), "runs")
+    near = components(spanning(_lead_links(runs, sketches, rule)))
+    near = near.select(F.col("node").alias("set"), F.col("component").alias("near"))
+    classes = runs.select("set").distinct().join(near, "set", "left").select("set", F.coalesce("near", "set").alias("class"))
+    classes = written(classes, "classes")
+    joined = components(_class_links(runs, classes, sketches, rule))
+    joined = joined.select(F.col("node").alias("class"), F.col("component").alias("joined"))
+    blocks = classes.join(joined, "class", "left").select("set", F.coalesce("joined", "class").alias("block"))
 
     speakers = lean.groupBy("set").agg(F.min("id").alias("id"), F.max("n").alias("n")).join(blocks, "set")
-    totals = speakers.groupBy("block").agg((F.sum("n") > SIDE).alias("large"))
+    totals = speakers.groupBy("block").agg((F.sum("n") > SIDE).alias("large"), F.count("*").alias("sets")).where("sets > 1").drop("sets")
     speakers = written(speakers.join(totals, "block"), "blocks")
     before = Window.partitionBy("block", "band").orderBy("n", "set").rowsBetween(Window.unboundedPreceding, -1)
     large = speakers.where("large").withColumn("band", F.expr("length(bin(n))"))
